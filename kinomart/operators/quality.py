@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -51,25 +51,53 @@ def orphans(child: DataFrame, column: str, parent: DataFrame, parent_column: str
     )
 
 
-def orphan_keys(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
-    """As ``orphans``, but one row per missing key with the number of child rows.
+def orphan_keys(
+    child: DataFrame, references: Mapping[str, tuple[DataFrame, str]]
+) -> DataFrame:
+    """Missing keys of all references of a child: (column, value, n_records).
 
-    Counting first means one row per key is shuffled, however often the key occurs.
+    ``references`` maps a child column to its parent and the parent's key; keys are integers.
+    The child is read once for all of its references, and rows are counted per key before
+    anything is shuffled, so a key that fills the child costs no more than any other.
     """
+    keys = F.array(*[_keyed(c, F.col(c)) for c in references])
     counts = (
-        child.where(F.col(column).isNotNull())
-        .groupBy(F.col(column).alias("value"))
+        child.select(F.inline(keys))
+        .where(F.col("value").isNotNull())
+        .groupBy("column", "value")
         .agg(F.count("*").alias("n_records"))
     )
-    keys = parent.select(F.col(parent_column).alias("_key"))
-    return counts.join(keys, F.col("value") == F.col("_key"), "left_anti")
+    parents = reduce(
+        DataFrame.union,
+        [
+            parent.select(F.inline(F.array(_keyed(c, F.col(key)))))
+            for c, (parent, key) in references.items()
+        ],
+    )
+    return counts.join(parents, ["column", "value"], "left_anti")
+
 
+def _keyed(column: str, value: Column) -> Column:
+    return F.struct(F.lit(column).alias("column"), value.cast("bigint").alias("value"))
 
-def unexpected_values(df: DataFrame, column: str, accepted: Sequence[str]) -> DataFrame:
-    """Values outside the list with their counts; NULL passes."""
+
+def unexpected_values(df: DataFrame, accepted: Mapping[str, Sequence[str]]) -> DataFrame:
+    """Values outside the lists of one or more columns: (column, value, n_records).
+
+    NULL passes. One scan serves all columns, and only failing values leave it.
+    """
+    failing = F.array(
+        *[
+            F.when(
+                ~F.col(c).isin(*values),
+                F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")),
+            )
+            for c, values in accepted.items()
+        ]
+    )
     return (
-        df.where(~F.col(column).isin(*accepted))
-        .groupBy(F.col(column).alias("value"))
+        df.select(F.inline(F.array_compact(failing)))
+        .groupBy("column", "value")
         .agg(F.count("*").alias("n_records"))
     )
 

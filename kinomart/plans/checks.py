@@ -11,17 +11,10 @@ from pyspark.sql import functions as F
 from kinomart.operators import quality as q
 from kinomart.plans.models import Models
 from kinomart.sources.schemas import (
-    FOREIGN_KEYS, PRIMARY_KEYS, RATINGS, RELEASE_YEARS, UNIQUE_INDEXES,
+    FOREIGN_KEYS, PRIMARY_KEYS, RATINGS, RELEASE_YEARS, UNIQUE_INDEXES, ForeignKey,
 )
 
 
-class Reference(NamedTuple):
-    child: str
-    column: str
-    parent: str
-    parent_column: str
-
-
 class Range(NamedTuple):
     column: str
     low: float | None = None
@@ -99,12 +92,12 @@ ACCEPTED: dict[str, dict[str, tuple[str, ...]]] = {
 }
 
 REFERENCES = [
-    Reference("stg_rental", "customer_id", "stg_customer", "customer_id"),
-    Reference("stg_payment", "customer_id", "stg_customer", "customer_id"),
-    Reference("stg_inventory", "film_id", "stg_film", "film_id"),
-    Reference("fct_rental", "customer_id", "dim_customer", "customer_id"),
-    Reference("fct_rental", "film_id", "dim_film", "film_id"),
-    Reference("fct_rental", "store_id", "dim_store", "store_id"),
+    ForeignKey("stg_rental", "customer_id", "stg_customer", "customer_id"),
+    ForeignKey("stg_payment", "customer_id", "stg_customer", "customer_id"),
+    ForeignKey("stg_inventory", "film_id", "stg_film", "film_id"),
+    ForeignKey("fct_rental", "customer_id", "dim_customer", "customer_id"),
+    ForeignKey("fct_rental", "film_id", "dim_film", "film_id"),
+    ForeignKey("fct_rental", "store_id", "dim_store", "store_id"),
 ]
 
 # Row conditions that must not hold, by relation and check name.
@@ -130,19 +123,44 @@ def _row_conditions(relation: str) -> dict[str, Column]:
 def _count_rows(df: DataFrame, relation: str, tests: dict[str, Column]) -> DataFrame:
     """All row checks of a relation in one scan; one result row per check."""
     counted = df.agg(*[F.count(F.when(t, 1)).alias(name) for name, t in tests.items()])
+    return _as_rows(counted, relation, tests)
+
+
+def _as_rows(counted: DataFrame, relation: str, names: Iterable[str]) -> DataFrame:
     pairs = F.array(
-        *[F.struct(F.lit(n).alias("check"), F.col(n).alias("failures")) for n in tests]
+        *[F.struct(F.lit(n).alias("check"), F.col(n).alias("failures")) for n in names]
     )
     return counted.select(F.lit(relation).alias("relation"), F.inline(pairs))
 
 
-def _count(df: DataFrame, relation: str, check: str, rows: Column | None = None) -> DataFrame:
-    failures = F.count("*") if rows is None else F.coalesce(rows, F.lit(0))
-    return df.agg(failures.cast("bigint").alias("failures")).select(
+def _count(df: DataFrame, relation: str, check: str) -> DataFrame:
+    return df.agg(F.count("*").alias("failures")).select(
         F.lit(relation).alias("relation"), F.lit(check).alias("check"), "failures"
     )
 
 
+def _count_columns(
+    found: DataFrame, relation: str, kind: str, columns: Iterable[str], amount: Column
+) -> DataFrame:
+    """Failures per checked column; a column without any counts 0."""
+    tests = {f"{kind}_{c}": F.when(F.col("column") == c, amount) for c in columns}
+    counted = found.agg(*[F.coalesce(F.sum(t), F.lit(0)).alias(name) for name, t in tests.items()])
+    return _as_rows(counted, relation, tests)
+
+
+def _references(models: Models, references: Iterable[ForeignKey], kind: str) -> list[DataFrame]:
+    """Rows with a missing parent, per reference."""
+    children: dict[str, dict[str, tuple[DataFrame, str]]] = {}
+    for r in references:
+        children.setdefault(r.child, {})[r.column] = (models[r.parent], r.parent_column)
+    return [
+        _count_columns(
+            q.orphan_keys(models[child], parents), child, kind, parents, F.col("n_records")
+        )
+        for child, parents in children.items()
+    ]
+
+
 def _union(parts: Iterable[DataFrame]) -> DataFrame:
     """Union in pairs of pairs: a chain of unions would be analyzed anew at every link."""
     parts = list(parts)
@@ -164,17 +182,10 @@ def summary(models: Models) -> DataFrame:
     parts += [
         _count(q.not_unique(models[r], c), r, f"unique_{c}") for r, c in UNIQUE.items()
     ]
+    parts += _references(models, REFERENCES, "relationships")
     parts += [
-        _count(
-            q.orphan_keys(models[r.child], r.column, models[r.parent], r.parent_column),
-            r.child, f"relationships_{r.column}", F.sum("n_records"),
-        )
-        for r in REFERENCES
-    ]
-    parts += [
-        _count(q.unexpected_values(models[r], c, values), r, f"accepted_values_{c}")
-        for r, columns in ACCEPTED.items()
-        for c, values in columns.items()
+        _count_columns(q.unexpected_values(models[r], c), r, "accepted_values", c, F.lit(1))
+        for r, c in ACCEPTED.items()
     ]
     parts.append(
         _count(
@@ -193,13 +204,7 @@ def primary_keys(models: Models) -> DataFrame:
 
 
 def foreign_keys(models: Models) -> DataFrame:
-    return _report(
-        _count(
-            q.orphan_keys(models[k.child], k.column, models[k.parent], k.parent_column),
-            k.child, f"foreign_key_{k.column}", F.sum("n_records"),
-        )
-        for k in FOREIGN_KEYS
-    )
+    return _report(_references(models, FOREIGN_KEYS, "foreign_key"))
 
 
 def unique_indexes(models: Models) -> DataFrame:
@@ -211,7 +216,7 @@ def unique_indexes(models: Models) -> DataFrame:
 
 def rating_enum(models: Models) -> DataFrame:
     """Ratings outside the enumerated type."""
-    return q.unexpected_values(models["film"], "rating", RATINGS)
+    return q.unexpected_values(models["film"], {"rating": RATINGS})
 
 
 def release_year_domain(models: Models) -> DataFrame:

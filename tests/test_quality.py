@@ -38,12 +38,15 @@ def test_key_failures(numbers):
 def test_orphans(spark, numbers):
     parent = spark.createDataFrame([(1,)], "id int")
     assert tuples(q.orphans(numbers, "k", parent, "id")) == [(2, None)]
-    assert tuples(q.orphan_keys(numbers, "k", parent, "id")) == [(2, 1)]
+    other = spark.createDataFrame([(9,), (9,)], "id int")
+    found = q.orphan_keys(numbers, {"k": (parent, "id"), "v": (other, "id")})
+    assert tuples(found) == [("k", 2, 1), ("v", -1, 1), ("v", 5, 2)]
 
 
 def test_unexpected_values(spark):
-    df = spark.createDataFrame([("a",), ("b",), ("b",), (None,)], "s string")
-    assert tuples(q.unexpected_values(df, "s", ("a",))) == [("b", 2)]
+    df = spark.createDataFrame([("a", 1), ("b", 2), ("b", 3), (None, None)], "s string, n int")
+    assert tuples(q.unexpected_values(df, {"s": ("a",)})) == [("s", "b", 2)]
+    assert tuples(q.unexpected_values(df, {"s": ("a", "b"), "n": (1, 2)})) == [("n", "3", 1)]
 
 
 @pytest.mark.parametrize(
