@@ -17,7 +17,7 @@ from kinomart.operators.refresh import refresh_diff, upsert_stamped
 from kinomart.operators.text_index import token_index
 from kinomart.plans import checks, pipeline
 from kinomart.plans.models import MARTS, RELATIONS, STAGING, Models
-from kinomart.session import work_folder
+from kinomart.session import materialize, work_folder
 from kinomart.sources import tables
 from kinomart.sources.text import NULL_MARK, read_dump
 from kinomart.sources.tpch import TpchSources
@@ -185,6 +185,23 @@ def upsert_rentals(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def full_refresh(spark: SparkSession, folder: str) -> DataFrame:
+    """The stored rental table of an earlier refresh, overwritten by the current one."""
+    rental = _models(spark, folder)["rental"]
+    path = f"{work_folder(spark)}/rental"
+    materialize(_rentals_as_of(rental, date(1998, 1, 1)), path)
+    return materialize(rental, path)
+
+
+def column_defaults(spark: SparkSession, folder: str) -> DataFrame:
+    """Films without rating and load time, filled with the columns' defaults."""
+    film = _models(spark, folder)["film"].drop("last_update")
+    unrated = film.withColumn("rating", F.nullif("rating", F.lit("NR")))
+    return tables.with_defaults(unrated, "film", "2020-01-01 00:00:00").select(
+        "film_id", "rental_duration", "rental_rate", "replacement_cost", "rating", "last_update"
+    )
+
+
 def title_token_index(spark: SparkSession, folder: str) -> DataFrame:
     index = token_index(_models(spark, folder)["film"], "film_id", ["title", "description"])
     return index.withColumn("positions", F.concat_ws(",", F.col("positions").cast("array<string>")))
@@ -226,6 +243,8 @@ def queries() -> dict[str, Query]:
         "refresh_diff": refresh_rentals,
         "upsert_stamped": upsert_rentals,
         "title_token_index": title_token_index,
+        "full_refresh": full_refresh,
+        "column_defaults": column_defaults,
     }
     return named
 

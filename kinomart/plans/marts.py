@@ -224,12 +224,13 @@ def rental_analytics(
         F.col("is_weekday").alias("is_rental_weekday"),
     )
     paid, expected = F.col("payment_amount"), F.col("expected_amount")
+    # Narrow dimensions first, the film texts last: what a join adds, later shuffles carry.
     revenue = F.col("actual_payment") + F.col("calculated_late_fee")
     return (
         fact.join(store, fact.store_id == store._store, "left")
         .join(day, F.col("rental_date_id") == F.col("_day"), "left")
-        .join(film, fact.film_id == film._film, "left")
         .join(customer, fact.customer_id == customer._customer, "left")
+        .join(film, fact.film_id == film._film, "left")
         .select(
             "rental_id",
             "payment_id",

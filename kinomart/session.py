@@ -19,6 +19,19 @@ SETTINGS = {
 }
 
 
+PARTITION_BYTES = 256 << 20
+
+
+def shuffle_settings(input_bytes: int, cores: int) -> dict[str, str]:
+    """Session settings for a given amount of input: enough shuffle partitions for each to
+    stay in memory. Adaptive execution merges those that turn out small."""
+    partitions = max(cores, -(-input_bytes // PARTITION_BYTES))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(PARTITION_BYTES),
+    }
+
+
 def local_session(cores: int | str = "*", memory: str = "8g", **extra: str) -> SparkSession:
     """A local session for tests and the bench; a cluster brings its own."""
     builder = SparkSession.builder.master(f"local[{cores}]").appName("kinomart")

@@ -9,12 +9,25 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from kinomart.sources.schemas import DEFAULTS, INGEST_NAMES, PRIMARY_KEYS, SCHEMAS, STAMPED
+from kinomart.sources.text import read_dump
+from kinomart.sources.tpch import TpchSources
 
 
 def read_parquet(spark: SparkSession, table: str, folder: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[table]).parquet(f"{folder}/{table}")
 
 
+def loader(spark: SparkSession, kind: str, folder: str) -> Callable[[str], DataFrame]:
+    """Base tables by name: ``parquet`` folders, ``dump`` files or catalog ``table`` names."""
+    readers: dict[str, Callable[[str], DataFrame]] = {
+        "parquet": lambda name: read_parquet(spark, name, folder),
+        "dump": lambda name: read_dump(spark, name, f"{folder}/{name}.dat"),
+        "table": lambda name: spark.table(f"{folder}.{name}"),
+        "tpch": TpchSources(spark, folder),
+    }
+    return readers[kind]
+
+
 def read_jdbc(
     spark: SparkSession,
     url: str,

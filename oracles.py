@@ -527,6 +527,11 @@ OTHERS = {
         FROM {EARLIER} o
         FULL JOIN (SELECT * FROM {LATER} WHERE rental_date >= TIMESTAMP '1998-01-01'
                    OR return_date >= TIMESTAMP '1998-01-01') n ON n.rental_id = o.rental_id""",
+    "full_refresh": "SELECT * FROM t_rental",
+    "column_defaults": """
+        SELECT film_id, rental_duration, rental_rate, replacement_cost,
+               CASE WHEN rating = 'NR' THEN 'G' ELSE rating END AS rating,
+               TIMESTAMP '2020-01-01' AS last_update FROM t_film""",
     "title_token_index": f"""
         SELECT token, film_id, string_agg(position, ',' ORDER BY position) AS positions
         FROM (SELECT film_id, unnest(words) AS token,

@@ -1,13 +1,16 @@
 from datetime import date, datetime
 from decimal import Decimal
+from types import SimpleNamespace
 
 import fixtures as fx
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
+from kinomart.__main__ import main
 from kinomart.plans.pipeline import register_views
-from kinomart.session import materialize, work_folder
+from kinomart.session import materialize, shuffle_settings, work_folder
 from kinomart.sources import tables
 from kinomart.sources.schemas import PRIMARY_KEYS, SCHEMAS
 from kinomart.sources.text import read_dump, unescape
@@ -106,6 +109,49 @@ def test_full_refresh_overwrites(spark):
     assert tables.discover(spark)["city"].fieldNames() == SCHEMAS["city"].fieldNames()
 
 
+class FakeReader:
+    def __init__(self, lo, hi):
+        self.bounds, self.calls = Row(lo=lo, hi=hi), []
+
+    def jdbc(self, url, table, **options):
+        self.calls.append((table, options))
+        return SimpleNamespace(first=lambda: self.bounds)
+
+
+def test_jdbc_read_is_split_by_key():
+    reader = FakeReader(1, 16049)
+    tables.read_jdbc(SimpleNamespace(read=reader), "jdbc:x", "film_actor", {"user": "u"}, 4)
+    (bounds, _), (table, options) = reader.calls
+    assert "min(actor_id) lo" in bounds and table == "film_actor"
+    assert options == {
+        "column": "actor_id", "lowerBound": 1, "upperBound": 16050, "numPartitions": 4,
+        "properties": {"user": "u"},
+    }
+
+
+def test_jdbc_read_of_an_empty_table():
+    reader = FakeReader(None, None)
+    tables.read_jdbc(SimpleNamespace(read=reader), "jdbc:x", "rental", {})
+    assert reader.calls[1] == ("rental", {"properties": {}})
+
+
+def test_command_line(spark, tmp_path, capsys):
+    folder, out = str(tmp_path / "base"), str(tmp_path / "out")
+    rows = fx.base()
+    for name in SCHEMAS:
+        materialize(fx.table(spark, name, rows[name]), f"{folder}/{name}")
+    assert main(["build", "--source", "parquet", "--folder", folder, "--out", out]) == 1
+    built = capsys.readouterr().out
+    assert "FAIL dim_film unique_film_id: 1" in built and "142 checks passed, 17 failed" in built
+    assert main(["check", "--out", out]) == 1
+    assert capsys.readouterr().out == built
+
+
+def test_shuffle_settings():
+    assert shuffle_settings(10 << 30, 8)["spark.sql.shuffle.partitions"] == "40"
+    assert shuffle_settings(1, 8)["spark.sql.shuffle.partitions"] == "8"
+
+
 def test_ingest_names(spark):
     assert "zip_code" in tables.ingest_names(fx.models(spark)["customer_list"]).columns
 
