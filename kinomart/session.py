@@ -5,8 +5,10 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -57,14 +59,15 @@ def work_folder(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/kinomart-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, path: str, partition_by: list[str] | None = None) -> DataFrame:
+def materialize(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Write a table in full and read it back.
 
     The copy cuts the lineage, survives the loss of executors, and has a real size on
     disk, so that Spark broadcasts it only if that size is below its threshold.
     """
-    writer = df.write.mode("overwrite")
+    rows = df
     if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+        # One writer per partition at best; large partitions are split, small ones merged.
+        rows = df.hint("rebalance", *[F.col(c) for c in partition_by])
+    rows.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)

@@ -2,11 +2,12 @@
 
 from datetime import date, datetime
 
+import fixtures as fx
 import pytest
 
 import __spark_entry__ as entry
 from kinomart.functions import rental as fn
-from kinomart.plans import checks
+from kinomart.plans import checks, pipeline
 from kinomart.plans.models import RELATIONS, Models
 from kinomart.sources.tpch import TpchSources
 
@@ -70,3 +71,24 @@ def test_stock_is_one_join(models):
     text = plan(models["inventory_in_stock"])
     assert "LeftOuter" in text
     assert "IsNull" in text or "isnull(_out" in text
+
+
+def test_one_customers_balance_reads_one_customer(models):
+    m = models
+    balance = fn.customer_balance(
+        m["customer"], m["rental"], m["inventory"], m["film"], m["payment"], datetime(1998, 7, 1)
+    )
+    text = plan(balance.where("customer_id = 5"))
+    assert text.count("EqualTo(o_custkey,5)") == 2 and "EqualTo(c_custkey,5)" in text
+
+
+def test_partitioned_marts_are_pruned(spark, tmp_path):
+    models = fx.models(spark)
+    by_month = {"rental_analytics": ["rental_year", "rental_month"]}
+    pipeline.with_stored_dimensions(models, str(tmp_path))
+    expected = models["rental_analytics"].collect()
+    pipeline.store_relations(models, str(tmp_path), ["rental_analytics"], by_month)
+    wide = models["rental_analytics"]
+    assert sorted(map(str, wide.collect())) == sorted(map(str, expected))
+    june = wide.where("rental_year = 2005 and rental_month = 6")
+    assert "PartitionFilters: [isnotnull(rental_year" in plan(june) and june.count() == 6
