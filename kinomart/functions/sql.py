@@ -17,18 +17,19 @@ from kinomart.sources.schemas import SCHEMAS
 # The database's own names of two relations.
 VIEW_NAMES = {"nicer_film_list": "nicer_but_slower_film_list"}
 
-_OPEN = "rental.return_date IS NULL AND rental.inventory_id"
-
 _STOCK = """(p_film_id BIGINT, p_store_id BIGINT) RETURNS TABLE (p_film_count BIGINT)
     RETURN SELECT inventory_id FROM inventory LEFT {join} JOIN rental
         ON rental.inventory_id = inventory.inventory_id AND rental.return_date IS NULL
         WHERE film_id = p_film_id AND store_id = p_store_id"""
 
 FUNCTIONS = {
-    "inventory_in_stock": f"""(p_inventory_id BIGINT) RETURNS BOOLEAN
-        RETURN (SELECT count(*) FROM rental WHERE {_OPEN} = p_inventory_id) = 0""",
-    "inventory_held_by_customer": f"""(p_inventory_id BIGINT) RETURNS BIGINT
-        RETURN (SELECT min(customer_id) FROM rental WHERE {_OPEN} = p_inventory_id)""",
+    # An item the inventory does not know counts as in stock, whatever its rentals say.
+    "inventory_in_stock": """(p_inventory_id BIGINT) RETURNS BOOLEAN
+        RETURN (SELECT count(*) FROM rental JOIN inventory USING (inventory_id)
+                WHERE return_date IS NULL AND inventory_id = p_inventory_id) = 0""",
+    "inventory_held_by_customer": """(p_inventory_id BIGINT) RETURNS BIGINT
+        RETURN (SELECT min(customer_id) FROM rental
+                WHERE return_date IS NULL AND inventory_id = p_inventory_id)""",
     "film_in_stock": _STOCK.format(join="ANTI"),
     "film_not_in_stock": _STOCK.format(join="SEMI"),
     "get_customer_balance": """(p_customer_id BIGINT, p_effective_date TIMESTAMP_NTZ)

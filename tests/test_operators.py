@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from kinomart.operators.aggregates import group_concat
 from kinomart.operators.joins import left_join_split
-from kinomart.operators.refresh import refresh_diff, upsert_stamped
+from kinomart.operators.refresh import refresh_diff, refresh_report, upsert_stamped
 from kinomart.operators.text_index import token_index
+from kinomart.sources.schemas import PRIMARY_KEYS
 
 
 def joined(left, right):
@@ -93,6 +94,19 @@ def test_refresh_diff_of_a_table_of_keys(spark):
     assert got == {"unchanged": 1, "removed": 1, "added": 1}
 
 
+def test_refresh_report_covers_every_table(spark):
+    rows = fx.base()
+    more = rows | {"city": rows["city"] * 1 + [rows["city"][0] | {"city_id": 2}], "actor": []}
+    report = refresh_report(
+        lambda n: fx.table(spark, n, rows[n]), lambda n: fx.table(spark, n, more[n]), PRIMARY_KEYS
+    )
+    got = {(r.relation, r.change): r.n_rows for r in report.collect()}
+    assert {k: n for k, n in got.items() if k[1] != "unchanged"} == {
+        ("city", "added"): 1, ("actor", "removed"): 3,
+    }
+    assert got["rental", "unchanged"] == 7 and got["film_actor", "unchanged"] == 3
+
+
 def test_upsert_stamps_changed_rows_only(spark):
     target = spark.createDataFrame(
         [(1, "a", None, OLD), (2, "b", 1, OLD), (3, "c", None, OLD), (4, "d", 1, OLD)], ITEM

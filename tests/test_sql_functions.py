@@ -26,6 +26,12 @@ def test_stock(spark, models):
     assert spark.sql("SELECT inventory_in_stock(1000) s").first().s is True
 
 
+def test_unknown_item_is_in_stock_even_if_rented_out(spark):
+    register(spark, fx.models(spark, rental=[fx.rental(1, 500, 3, "2005-06-01 08:00:00")]))
+    row = spark.sql("SELECT inventory_in_stock(500) s, inventory_held_by_customer(500) c").first()
+    assert (row.s, row.c) == (True, 3)
+
+
 def test_film_stock(spark, models):
     for name in ("film_in_stock", "film_not_in_stock"):
         got = spark.sql(
