@@ -60,25 +60,31 @@ def orphan_keys(
     The child is read once for all of its references, and rows are counted per key before
     anything is shuffled, so a key that fills the child costs no more than any other.
     """
-    keys = F.array(*[_keyed(c, F.col(c)) for c in references])
+    columns = list(references)
+
+    def keyed(position: int, key: str) -> Column:
+        return F.struct(
+            F.lit(position).alias("position"), F.col(key).cast("bigint").alias("value")
+        )
+
+    found = F.array(*[keyed(i, c) for i, c in enumerate(columns)])
     counts = (
-        child.select(F.inline(keys))
+        child.select(F.inline(found))
         .where(F.col("value").isNotNull())
-        .groupBy("column", "value")
+        .groupBy("position", "value")
         .agg(F.count("*").alias("n_records"))
     )
     parents = reduce(
         DataFrame.union,
         [
-            parent.select(F.inline(F.array(_keyed(c, F.col(key)))))
-            for c, (parent, key) in references.items()
+            parent.select(F.inline(F.array(keyed(i, key))))
+            for i, (parent, key) in enumerate(references.values())
         ],
     )
-    return counts.join(parents, ["column", "value"], "left_anti")
-
-
-def _keyed(column: str, value: Column) -> Column:
-    return F.struct(F.lit(column).alias("column"), value.cast("bigint").alias("value"))
+    names = F.array(*[F.lit(c) for c in columns])
+    return counts.join(parents, ["position", "value"], "left_anti").select(
+        F.get(names, F.col("position")).alias("column"), "value", "n_records"
+    )
 
 
 def unexpected_values(df: DataFrame, accepted: Mapping[str, Sequence[str]]) -> DataFrame:
