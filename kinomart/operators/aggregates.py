@@ -7,13 +7,19 @@ from pyspark.sql import functions as F
 
 
 def group_concat(
-    df: DataFrame, keys: list[str], value: str, out: str, separator: str = ", "
+    df: DataFrame,
+    keys: list[str],
+    value: str,
+    out: str,
+    separator: str = ", ",
+    near: list[str] | None = None,
 ) -> DataFrame:
     """One ordered list of texts per group; NULLs are skipped, a group of NULLs gives NULL.
 
     Rows are range-partitioned by group and text first, so the rows of a large group are
     sorted and joined by several tasks, and the last step only strings finished pieces
-    together in order.
+    together in order. ``near`` names the keys of the next join: the result is then already
+    partitioned for it.
     """
     mark = separator.replace("'", "''")
     pieces = (
@@ -23,6 +29,8 @@ def group_concat(
         .groupBy(*keys, "_piece")
         .agg(F.expr(f"listagg(_text, '{mark}') within group (order by _text)").alias("_text"))
     )
+    if near:
+        pieces = pieces.repartition(*near)
     return pieces.groupBy(*keys).agg(
         F.expr(f"listagg(_text, '{mark}') within group (order by _piece)").alias(out)
     )

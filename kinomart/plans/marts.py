@@ -9,20 +9,24 @@ from kinomart.functions.columns import holds, money, spaced
 from kinomart.operators.joins import HOT_ROWS, left_join_split
 
 
-def _places(addresses: DataFrame, cities: DataFrame, countries: DataFrame) -> DataFrame:
-    """Addresses with city and country names; an address keeps its row without them."""
+def _placed(
+    owners: DataFrame, addresses: DataFrame, cities: DataFrame, countries: DataFrame
+) -> DataFrame:
+    """Owners with their address, city and country, where known.
+
+    The address comes first: stores are few, and only their addresses meet a city then.
+    """
     return (
-        addresses.drop("last_update")
+        owners.join(addresses.drop("last_update"), "address_id", "left")
         .join(cities.drop("last_update"), "city_id", "left")
         .join(countries.drop("last_update"), "country_id", "left")
-        .drop("city_id", "country_id")
     )
 
 
 def dim_customer(
     customers: DataFrame, addresses: DataFrame, cities: DataFrame, countries: DataFrame
 ) -> DataFrame:
-    return customers.join(_places(addresses, cities, countries), "address_id", "left").select(
+    return _placed(customers, addresses, cities, countries).select(
         "customer_id",
         "first_name",
         "last_name",
@@ -46,7 +50,7 @@ def dim_customer(
 def dim_store(
     stores: DataFrame, addresses: DataFrame, cities: DataFrame, countries: DataFrame
 ) -> DataFrame:
-    return stores.join(_places(addresses, cities, countries), "address_id", "left").select(
+    return _placed(stores, addresses, cities, countries).select(
         "store_id",
         "manager_staff_id",
         "address_line1",

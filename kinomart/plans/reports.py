@@ -9,17 +9,19 @@ from kinomart.functions.columns import TOTAL, capitalized, holds, spaced
 from kinomart.operators.aggregates import group_concat
 
 
-def _located(address: DataFrame, city: DataFrame, country: DataFrame) -> DataFrame:
-    """Addresses in a known city and country."""
+def _placed(
+    owners: DataFrame, address: DataFrame, city: DataFrame, country: DataFrame
+) -> DataFrame:
+    """Owners whose address, city and country are all known."""
     return (
-        address.select("address_id", "address", "postal_code", "phone", "city_id")
+        owners.join(address.select("address_id", "address", "postal_code", "phone", "city_id"), "address_id")
         .join(city.select("city_id", "city", "country_id"), "city_id")
         .join(country.select("country_id", "country"), "country_id")
     )
 
 
-def _people(people: DataFrame, places: DataFrame, key: str, *extra: Column) -> DataFrame:
-    return people.join(places, "address_id").select(
+def _people(placed: DataFrame, key: str, *extra: Column) -> DataFrame:
+    return placed.select(
         F.col(key).alias("id"),
         spaced("first_name", "last_name").alias("name"),
         "address",
@@ -36,18 +38,17 @@ def customer_list(
     customer: DataFrame, address: DataFrame, city: DataFrame, country: DataFrame
 ) -> DataFrame:
     notes = F.when(holds(F.col("activebool")), "active").otherwise("").alias("notes")
-    # Both sides have columns of the same name; only the address side's place is wanted.
     people = customer.select(
         "customer_id", "first_name", "last_name", "address_id", "activebool", "store_id"
     )
-    return _people(people, _located(address, city, country), "customer_id", notes)
+    return _people(_placed(people, address, city, country), "customer_id", notes)
 
 
 def staff_list(
     staff: DataFrame, address: DataFrame, city: DataFrame, country: DataFrame
 ) -> DataFrame:
     people = staff.select("staff_id", "first_name", "last_name", "address_id", "store_id")
-    return _people(people, _located(address, city, country), "staff_id")
+    return _people(_placed(people, address, city, country), "staff_id")
 
 
 def _films_with_cast(
@@ -66,7 +67,8 @@ def _films_with_cast(
         category.select("category_id", F.col("name").alias("category")), "category_id"
     )
     listed = group_concat(
-        cast.join(labels, "film_id"), ["film_id", "category"], "actor_name", "actors"
+        cast.join(labels, "film_id"), ["film_id", "category"], "actor_name", "actors",
+        near=["film_id"],
     )
     return film.join(listed, "film_id").select(
         F.col("film_id").alias("fid"),
@@ -167,10 +169,11 @@ def sales_by_store(
         F.col("staff_id").alias("manager_staff_id"),
         spaced("first_name", "last_name").alias("manager"),
     )
+    sales = _sales_per(payment, rental, inventory, "store_id").join(
+        store.select("store_id", "manager_staff_id", "address_id"), "store_id"
+    )
     return (
-        _sales_per(payment, rental, inventory, "store_id")
-        .join(store.select("store_id", "manager_staff_id", "address_id"), "store_id")
-        .join(_located(address, city, country).select("address_id", "city", "country"), "address_id")
+        _placed(sales, address, city, country)
         .join(managers, "manager_staff_id")
         .orderBy("country", "city")
         .select(

@@ -67,6 +67,18 @@ def test_text_lists_are_range_partitioned(models):
     assert "Exchange rangepartitioning(film_id" in plan(models["film_list"])
 
 
+def test_cast_lists_are_not_shuffled_again_for_the_film(spark, models):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(Models(TpchSources(spark, FOLDER))["film_list"])
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    lists = [line for line in text.splitlines() if "Exchange" in line or "listagg(_text" in line]
+    first = next(i for i, line in enumerate(lists) if "listagg(_text" in line)
+    # Above the lists there is only the exchange of the films themselves.
+    assert sum("Exchange" in line for line in lists[:first]) == 1
+
+
 def test_stock_is_one_join(models):
     text = plan(models["inventory_in_stock"])
     assert "LeftOuter" in text
