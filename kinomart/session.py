@@ -22,6 +22,7 @@ SETTINGS = {
 
 
 PARTITION_BYTES = 256 << 20
+THREADS = 12  # tables written side by side
 
 
 def shuffle_settings(input_bytes: int, cores: int) -> dict[str, str]:

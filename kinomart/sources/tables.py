@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from kinomart.session import THREADS
 from kinomart.sources.schemas import DEFAULTS, INGEST_NAMES, PRIMARY_KEYS, SCHEMAS, STAMPED
 from kinomart.sources.text import read_dump
 from kinomart.sources.tpch import TpchSources
@@ -91,9 +93,11 @@ def replicate(
     load: Callable[[str], DataFrame], tables: Iterable[str], database: str | None = None
 ) -> list[str]:
     """Full refresh: overwrite each target table with the whole source table."""
-    done = []
-    for name in select_tables(tables):
+
+    def copy(name: str) -> str:
         target = f"{database}.{name}" if database else name
         ingest_names(load(name)).write.mode("overwrite").format("parquet").saveAsTable(target)
-        done.append(target)
-    return done
+        return target
+
+    with ThreadPoolExecutor(THREADS) as pool:
+        return list(pool.map(copy, select_tables(tables)))
