@@ -15,17 +15,14 @@ def any_null(columns: Sequence[str]) -> Column:
 
 def out_of_range(
     column: str, low: float | None = None, high: float | None = None, inclusive: bool = True
-) -> Column:
-    """True outside the bounds, NULL for a NULL value."""
-    value = F.col(column)
-    tests = []
-    if low is not None:
-        tests.append(value < low if inclusive else value <= low)
-    if high is not None:
-        tests.append(value > high if inclusive else value >= high)
+) -> str:
+    """Condition that is true outside the bounds, and NULL for a NULL value."""
+    below, above = ("<", ">") if inclusive else ("<=", ">=")
+    tests = [f"`{column}` {below} {low}"] if low is not None else []
+    tests += [f"`{column}` {above} {high}"] if high is not None else []
     if not tests:
         raise ValueError("a range needs at least one bound")
-    return reduce(Column.__or__, tests)
+    return " OR ".join(tests)
 
 
 def not_unique(df: DataFrame, *columns: str) -> DataFrame:

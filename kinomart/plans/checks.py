@@ -110,27 +110,23 @@ ROW_RULES: dict[str, dict[str, str]] = {
 }
 
 
-def _row_conditions(relation: str) -> dict[str, Column]:
+def _row_conditions(relation: str) -> dict[str, str]:
     """Checks of one relation that look at one row at a time: name -> failing condition."""
-    tests = {f"not_null_{c}": F.col(c).isNull() for c in NOT_NULL.get(relation, [])}
+    tests = {f"not_null_{c}": f"`{c}` IS NULL" for c in NOT_NULL.get(relation, [])}
     for r in RANGES.get(relation, []):
         tests[f"accepted_range_{r.column}"] = q.out_of_range(r.column, r.low, r.high)
-    for name, condition in ROW_RULES.get(relation, {}).items():
-        tests[name] = F.expr(condition)
-    return tests
+    return tests | ROW_RULES.get(relation, {})
 
 
-def _count_rows(df: DataFrame, relation: str, tests: dict[str, Column]) -> DataFrame:
+def _count_rows(df: DataFrame, relation: str, tests: dict[str, str]) -> DataFrame:
     """All row checks of a relation in one scan; one result row per check."""
-    counted = df.agg(*[F.count(F.when(t, 1)).alias(name) for name, t in tests.items()])
+    counted = df.agg(*[F.expr(f"count_if({t}) AS `{name}`") for name, t in tests.items()])
     return _as_rows(counted, relation, tests)
 
 
 def _as_rows(counted: DataFrame, relation: str, names: Iterable[str]) -> DataFrame:
-    pairs = F.array(
-        *[F.struct(F.lit(n).alias("check"), F.col(n).alias("failures")) for n in names]
-    )
-    return counted.select(F.lit(relation).alias("relation"), F.inline(pairs))
+    pairs = ", ".join(f"struct('{n}' AS check, `{n}` AS failures)" for n in names)
+    return counted.selectExpr(f"'{relation}' AS relation", f"inline(array({pairs}))")
 
 
 def _count(df: DataFrame, relation: str, check: str) -> DataFrame:
