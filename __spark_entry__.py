@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import importlib.util
 from collections.abc import Callable
 from datetime import date, datetime
 from functools import reduce
@@ -24,6 +25,13 @@ from kinomart.sources.tpch import TpchSources
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# The training-data operators may be left out; everything else works without them.
+HAS_LLM = importlib.util.find_spec("kinomart.llm") is not None
+if HAS_LLM:
+    import corpus_pipeline
+    from kinomart.llm import oracles as llm_oracles
+    from kinomart.llm import queries as llm_queries
+
 
 def _models(spark: SparkSession, folder: str) -> Models:
     return Models(TpchSources(spark, folder))
@@ -246,8 +254,15 @@ def queries() -> dict[str, Query]:
         "full_refresh": full_refresh,
         "column_defaults": column_defaults,
     }
+    if HAS_LLM:
+        named |= llm_queries.queries() | {"pipeline": corpus_pipeline.run}
     return named
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracles.oracle_sql()
+    named = oracles.oracle_sql()
+    if HAS_LLM:
+        named |= llm_oracles.oracle_sql()
+        if corpus_pipeline.ORACLE_SQL:
+            named["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return named
