@@ -9,6 +9,66 @@ SELECT doc_id, min(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PART
        doc_id = min(doc_id) OVER (PARTITION BY t) AS kept, sha256(t) AS text_sha256
 FROM d"""
 
+URL_FILTER = r"""
+WITH rules(rule_host, rule_path, says) AS (VALUES
+        ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'),
+        ('com', '/fr/', 'allow'), ('com', '/de/', 'block')),
+u AS (
+    SELECT page_id, coalesce(url, '') AS url, strpos(coalesce(url, ''), '://') AS p FROM pages),
+h AS (
+    SELECT page_id, CASE WHEN p > 0 THEN substr(url, p + 3) ELSE '' END AS rest FROM u),
+s AS (
+    SELECT page_id, regexp_extract(rest, '^([^/?#]*)', 1) AS raw,
+           regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+    FROM h),
+l AS (
+    SELECT page_id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, path
+    FROM s),
+fit AS (
+    SELECT l.*, rule_host || rule_path AS rule, says
+    FROM l LEFT JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)),
+best AS (
+    SELECT page_id, host, path, arg_max(rule, length(rule)) AS rule, arg_max(says, length(rule)) AS says
+    FROM fit GROUP BY page_id, host, path)
+SELECT page_id, host, path, rule,
+       coalesce(says, CASE WHEN host IN ('cheap-pills.example.com', 'spam-farm.example.org')
+                             OR ends_with(host, '.cheap-pills.example.com')
+                             OR ends_with(host, '.spam-farm.example.org') THEN 'block' ELSE 'allow' END) AS verdict
+FROM best"""
+
+QUALITY_RULES = r"""
+WITH d AS (
+    SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+w AS (
+    SELECT r, doc_id, t, list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words,
+           list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+    FROM d),
+pos AS (
+    SELECT r, unnest(generate_series(1, len(words) - 2)) AS i, words FROM w WHERE len(words) >= 3),
+win AS (
+    SELECT r, i, count(*) OVER (PARTITION BY r, words[i], words[i + 1], words[i + 2]) AS n FROM pos),
+cover AS (
+    SELECT r, count(DISTINCT i + k) AS n
+    FROM win, (VALUES (0), (1), (2)) AS o(k) WHERE n > 1 GROUP BY r),
+m AS (
+    SELECT w.r, doc_id, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars,
+           length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+           len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(cover.n, 0) AS n_repeat_words,
+           len(lines) AS n_lines, length(t) - length(replace(t, '!', '')) AS n_exclamations,
+           len(list_filter(words, lambda x: lower(x) IN (
+               'the', 'of', 'and', 'to', 'in', 'is', 'that', 'for', 'on', 'be', 'with', 'it', 'was', 'are', 'by', 'at',
+               'der', 'die', 'das', 'und', 'ein', 'ist', 'von', 'zu', 'im', 'mit', 'den', 'auf', 'für', 'nicht', 'als',
+               'le', 'la', 'les', 'de', 'des', 'du', 'et', 'un', 'une', 'que', 'qui', 'par', 'pour', 'est', 'pas',
+               'el', 'los', 'las', 'en', 'y', 'por', 'con', 'del', 'se', 'al', 'lo', 'no'))) AS n_stop_words
+    FROM w LEFT JOIN cover USING (r)),
+f AS (
+    SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, greatest(n_words, 1) AS w1 FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND n_words BETWEEN 50 AND 100000000 AND word_chars / w1 BETWEEN 2 AND 15
+       AND n_symbols / w1 <= 0.1 AND n_exclamations / w1 <= 0.3 AND n_stop_words / w1 >= 0.02
+       AND n_dup_lines / greatest(n_lines, 1) <= 0.5 AND n_repeat_words / w1 <= 0.5 AS kept
+FROM f"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_exact_dedup": EXACT_DEDUP}
+    return {"op2_exact_dedup": EXACT_DEDUP, "op5_quality_rules": QUALITY_RULES, "op7_url_filter": URL_FILTER}

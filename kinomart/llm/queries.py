@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kinomart.llm import exact_dedup, sentencepiece
-from kinomart.llm.common import read
+from kinomart.llm import exact_dedup, lang_id, quality_rules, sentencepiece, url_filter
+from kinomart.llm.common import bucket, read
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,6 +23,35 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    model = lang_id.fit(docs.where(bucket("doc_id", 5) != 0))
+    judged = lang_id.identify(docs, model)
+    return judged.select("doc_id", (bucket("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score")
+
+
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(read(spark, sf_dir, "documents"))
+
+
+#: The rules of the url query, as (host, path, verdict).
+URL_RULES = (
+    ("org", "/", "allow"),
+    ("example.org", "/es/", "block"),
+    ("example.org", "/en/1", "block"),
+    ("com", "/fr/", "allow"),
+    ("com", "/de/", "block"),
+)
+#: Hosts of the block list, which decides where no rule fits.
+BLOCKED_HOSTS = ("cheap-pills.example.com", "spam-farm.example.org")
+
+
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    listed = [(*r, True) for r in URL_RULES] + [(h, "", "block", False) for h in BLOCKED_HOSTS]
+    rules = spark.createDataFrame(listed, "host string, path string, verdict string, is_rule boolean")
+    return url_filter.judge(read(spark, sf_dir, "pages"), rules)
+
+
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece.token_digests(read(spark, sf_dir, "documents"), tokenizer_model())
 
@@ -30,5 +59,8 @@ def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op2_exact_dedup": op2_exact_dedup,
+        "op4_language": op4_language,
+        "op5_quality_rules": op5_quality_rules,
+        "op7_url_filter": op7_url_filter,
         "op8_sentencepiece": op8_sentencepiece,
     }
