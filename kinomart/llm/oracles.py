@@ -69,6 +69,67 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        AND n_dup_lines / greatest(n_lines, 1) <= 0.5 AND n_repeat_words / w1 <= 0.5 AS kept
 FROM f"""
 
+MIXING = r"""
+WITH RECURSIVE d AS (
+    SELECT doc_id, source, coalesce(source, '') AS label, md5('17:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS o,
+           len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS n
+    FROM documents),
+t AS (SELECT label, CAST(sum(n) AS BIGINT) AS t FROM d GROUP BY label HAVING sum(n) > 0),
+s AS (SELECT label, t, t / (SELECT CAST(sum(t) AS DOUBLE) FROM t) AS share FROM t),
+bisect(step, low, high) AS (
+    SELECT 0, CAST(0 AS DOUBLE), CAST(1 AS DOUBLE)
+    UNION ALL
+    SELECT step + 1, CASE WHEN over THEN (low + high) / 2 ELSE low END, CASE WHEN over THEN high ELSE (low + high) / 2 END
+    FROM (SELECT step, low, high,
+                 max(pow(share, (low + high) / 2) / share) / sum(pow(share, (low + high) / 2)) > 1.25 AS over
+          FROM bisect, s WHERE step < 30 GROUP BY step, low, high)),
+w AS (
+    SELECT label, t, CAST(ceil(t / 1000000) AS BIGINT) AS n_blocks,
+           CAST(floor(pow(share, high) / sum(pow(share, high)) OVER () * (SELECT sum(t) FROM t)) AS BIGINT) AS quota
+    FROM s, bisect WHERE step = 30),
+p AS (
+    SELECT d.doc_id, d.source, d.label, d.n, d.o, w.quota // w.t AS passes, w.quota % w.t AS rest,
+           CAST(floor(CAST('0x' || substr(d.o, 1, 8) AS BIGINT) / 4294967296.0 * w.n_blocks) AS BIGINT) AS block
+    FROM d JOIN w USING (label)),
+used AS (
+    SELECT *, sum(n) OVER (PARTITION BY label ORDER BY o, doc_id ROWS UNBOUNDED PRECEDING) <= rest AS cut FROM p)
+SELECT doc_id, source, unnest(generate_series(0, passes + CAST(cut AS BIGINT) - 1)) AS epoch, block FROM used"""
+
+LINE_DEDUP = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, text FROM documents),
+l AS (
+    SELECT r, doc_id, unnest(string_split(text, chr(10))) AS line,
+           unnest(generate_series(0, len(string_split(text, chr(10))) - 1)) AS i
+    FROM d WHERE text IS NOT NULL),
+h AS (SELECT *, CAST('0x' || substr(md5(line), 1, 8) AS BIGINT) AS h FROM l),
+c AS (
+    SELECT *, (h + 131 * coalesce(lag(h) OVER (PARTITION BY r ORDER BY i), 0)) % 2147483647 % 2 AS class FROM h),
+k AS (
+    SELECT r, doc_id, line, i, k, sum(CASE WHEN class = k THEN 1 ELSE 0 END)
+               OVER (PARTITION BY r, k ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS cuts
+    FROM c, (VALUES (0), (1)) AS o(k)),
+chunks AS (
+    SELECT r, doc_id, k, coalesce(cuts, 0) AS cuts, min(i) AS low, max(i) AS high, string_agg(line, chr(10) ORDER BY i) AS body
+    FROM k GROUP BY r, doc_id, k, coalesce(cuts, 0)
+    HAVING count(*) > 1 AND count(*) FILTER (regexp_matches(line, '\S')) > 1),
+ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY body ORDER BY doc_id, low, high) AS nr FROM chunks),
+gone AS (
+    SELECT DISTINCT r, unnest(generate_series(low, high)) AS i FROM ranked WHERE nr > 1),
+body AS (
+    SELECT l.r, string_agg(line, chr(10) ORDER BY l.i) FILTER (gone.i IS NULL) AS text,
+           count(*) AS n_lines, count(gone.i) AS n_removed
+    FROM l LEFT JOIN gone ON l.r = gone.r AND l.i = gone.i GROUP BY l.r)
+SELECT d.doc_id, CASE WHEN d.text IS NOT NULL THEN coalesce(body.text, '') END AS text,
+       coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed
+FROM d LEFT JOIN body USING (r)"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_exact_dedup": EXACT_DEDUP, "op5_quality_rules": QUALITY_RULES, "op7_url_filter": URL_FILTER}
+    return {
+        "op1_mixing": MIXING,
+        "op2_exact_dedup": EXACT_DEDUP,
+        "op5_quality_rules": QUALITY_RULES,
+        "op6_line_dedup": LINE_DEDUP,
+        "op7_url_filter": URL_FILTER,
+    }

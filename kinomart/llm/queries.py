@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from kinomart.llm import exact_dedup, lang_id, quality_rules, sentencepiece, url_filter
+from kinomart.llm import exact_dedup, lang_id, line_dedup, mixing, quality_rules, sentencepiece, url_filter
 from kinomart.llm.common import bucket, read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +20,12 @@ def tokenizer_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As flat a mix of as many tokens as there are, with no source used more than 1.25 times."""
+    mixed = mixing.mix(read(spark, sf_dir, "documents"), budget_share=1.0, max_repetition=1.25)
+    return mixed.select("doc_id", "source", F.col("_epoch").alias("epoch"), F.col("_block").alias("block"))
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(read(spark, sf_dir, "documents"))
 
@@ -34,6 +41,11 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(read(spark, sf_dir, "documents"))
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    clean = line_dedup.dedup_lines(read(spark, sf_dir, "documents"))
+    return clean.select("doc_id", "text", "n_lines", "n_removed")
+
+
 #: The rules of the url query, as (host, path, verdict).
 URL_RULES = (
     ("org", "/", "allow"),
@@ -58,9 +70,11 @@ def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_mixing": op1_mixing,
         "op2_exact_dedup": op2_exact_dedup,
         "op4_language": op4_language,
         "op5_quality_rules": op5_quality_rules,
+        "op6_line_dedup": op6_line_dedup,
         "op7_url_filter": op7_url_filter,
         "op8_sentencepiece": op8_sentencepiece,
     }
