@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinomart.llm import exact_dedup, lang_id, line_dedup, mixing, quality_rules, sentencepiece, url_filter
+from kinomart.llm import exact_dedup, lang_id, line_dedup, mixing, pii, quality_rules, sentencepiece, url_filter
 from kinomart.llm.common import bucket, read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -68,6 +68,10 @@ def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece.token_digests(read(spark, sf_dir, "documents"), tokenizer_model())
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pseudonymize(read(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_mixing": op1_mixing,
@@ -77,4 +81,5 @@ def queries() -> dict[str, Query]:
         "op6_line_dedup": op6_line_dedup,
         "op7_url_filter": op7_url_filter,
         "op8_sentencepiece": op8_sentencepiece,
+        "op10_pii": op10_pii,
     }
