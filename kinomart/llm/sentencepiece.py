@@ -17,6 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,6 +33,11 @@ NONE = np.int64(1 << 40)
 #: Distinct words a task remembers before it starts anew: bounds its memory, not its results.
 REMEMBERED = 300_000
 ROUND_SYMBOLS = 1 << 17
+#: Bytes of text that are split into words at a time.
+PORTION = 1 << 21
+#: Stands between words while a text is split; texts that hold it are split more slowly.
+SEPARATOR = "\x00"
+CUT = re.compile(f"(?<=[^ {MARK}]) ")
 
 
 class Vocabulary:
@@ -228,41 +234,114 @@ def _utf8(run: bytearray) -> str:
     return "".join(out)
 
 
+def portions(text: str, size: int = PORTION) -> Iterator[str]:
+    """A long text in parts that begin with a word, so that each is encoded by itself."""
+    start = 0
+    while start < len(text):
+        cut = CUT.search(text, start + size)
+        end = cut.start() if cut else len(text)
+        yield text[start:end]
+        start = end
+
+
+def _gather(starts: np.ndarray, lengths: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of the runs `at`, one after the other, and where each of them ends."""
+    ends = np.cumsum(lengths[at])
+    shift = starts[at] - ends + lengths[at]
+    return np.repeat(shift, lengths[at]) + np.arange(ends[-1] if len(ends) else 0), ends
+
+
 class Encoder:
     """Encodes texts word by word; remembers the words of a task up to a bound."""
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary, self.seen = vocabulary, {}
+        self.letter_end = vocabulary.words is SENTENCE_WORDS
 
-    def encode(self, batch: list[str]) -> list[np.ndarray]:
-        split = [self.vocabulary.words.findall(MARK + t.replace(" ", MARK)) if t else [] for t in batch]
+    def _ids_of(self, words: list[str]) -> list[bytes]:
+        """The ids of distinct words as bytes of int32."""
         if len(self.seen) > REMEMBERED:
             self.seen = {}
         seen = self.seen
-        fresh = list({w for words in split for w in words if w not in seen})
+        seen[""] = b""
+        fresh = [w for w in words if w not in seen]
         at = 0
         while at < len(fresh):  # rounds over a bounded number of symbols
             end, symbols = at, 0
             while end < len(fresh) and (end == at or symbols + len(fresh[end]) <= ROUND_SYMBOLS):
                 symbols += len(fresh[end])
                 end += 1
-            seen.update(zip(fresh[at:end], self.vocabulary.encode_words(fresh[at:end]), strict=True))
+            found = self.vocabulary.encode_words(fresh[at:end])
+            seen.update((w, ids.tobytes()) for w, ids in zip(fresh[at:end], found, strict=True))
+            at = end
+        return [seen[w] for w in words]
+
+    def encode(self, texts: pa.Array, begins: bool = True) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts in a row, and the place where each text ends."""
+        texts = pc.fill_null(texts, "")
+        empty = pc.equal(pc.binary_length(texts), 0)
+        # Spaces become marks and a word begins at each run of marks.
+        marked = pc.replace_substring(pc.replace_substring(texts, MARK, " "), " ", SEPARATOR + MARK)
+        if begins:
+            marked = pc.if_else(empty, "", pc.binary_join_element_wise(MARK, marked, ""))
+        lists = pc.split_pattern(pc.replace_substring(marked, MARK + SEPARATOR, MARK), SEPARATOR)
+        words = lists.flatten().dictionary_encode()
+        pieces = words.dictionary
+        if self.letter_end:
+            pieces = pc.replace_substring_regex(pieces, f"({LETTER})([.,])", rf"\1{SEPARATOR}\2")
+        pieces = pc.split_pattern(pieces, SEPARATOR)
+        parts = pieces.flatten().dictionary_encode()
+        known = self._ids_of(parts.dictionary.to_pylist())
+        lengths = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        pool = np.frombuffer(b"".join(known), np.int32)
+        first = pieces.offsets.to_numpy()
+        at, ends = _gather(first[:-1].astype(np.int64), np.diff(first), words.indices.to_numpy())
+        place, stops = _gather(np.cumsum(lengths) - lengths, lengths, parts.indices.to_numpy()[at])
+        word_ends = np.r_[0, stops][ends]
+        return pool[place], word_ends[lists.offsets.to_numpy()[1:] - 1]
+
+    def encode_one(self, text: str) -> np.ndarray:
+        """The ids of a long text, or of one that holds SEPARATOR: memory follows PORTION and the ids."""
+        found = [np.zeros(0, np.int32)]
+        for k, part in enumerate(portions(text)):
+            if SEPARATOR in part:
+                words = WORDS.findall(MARK * (k == 0) + part.replace(" ", MARK))
+                ids = dict(zip(distinct := list(dict.fromkeys(words)), self._ids_of(distinct), strict=True))
+                found.append(np.frombuffer(b"".join(ids[w] for w in words), np.int32))
+            else:
+                found.append(self.encode(pa.array([part]), k == 0)[0])
+        return np.concatenate(found)
+
+    def encode_batch(self, texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(rows, ids, ends) for row after row of `texts`, in runs of at most PORTION bytes."""
+        sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+        alone = sizes > PORTION
+        alone |= pc.fill_null(pc.match_substring(texts, SEPARATOR), False).to_numpy(zero_copy_only=False)
+        at = 0
+        while at < len(sizes):
+            if alone[at]:
+                ids = self.encode_one(texts[at].as_py())
+                yield 1, ids, np.array([len(ids)])
+                at += 1
+                continue
+            end, held = at, 0
+            while end < len(sizes) and not alone[end] and (end == at or held + sizes[end] <= PORTION):
+                held += sizes[end]
+                end += 1
+            yield end - at, *self.encode(texts.slice(at, end - at))
             at = end
-        none = np.zeros(0, np.int32)
-        return [np.concatenate([seen[w] for w in words]) if words else none for words in split]
 
 
 def _encode(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(Vocabulary(path))
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                ids = encoder.encode([t or "" for t in part.column("text").to_pylist()])
-                offsets = np.cumsum([0, *map(len, ids)], dtype=np.int32)
-                values = np.concatenate(ids) if ids else np.zeros(0, np.int32)
-                listed = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, pa.int32()))
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), listed], names=["doc_id", "ids"])
+            at = 0
+            for rows, ids, ends in encoder.encode_batch(batch.column("text")):
+                offsets = pa.array(np.r_[0, ends].astype(np.int32))
+                listed = pa.ListArray.from_arrays(offsets, pa.array(ids, pa.int32()))
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(at, rows), listed], names=["doc_id", "ids"])
+                at += rows
 
     return run
 
@@ -271,11 +350,14 @@ def _decode(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = Vocabulary(path)
         for batch in batches:
-            text = [vocabulary.decode(ids or []) for ids in batch.column("ids").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("ids"), pa.array(text, pa.string())],
-                names=["doc_id", "ids", "decoded"],
-            )
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                # One text's ids at a time become Python numbers.
+                text = [vocabulary.decode(ids.values.to_pylist() if ids.is_valid else []) for ids in part.column("ids")]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), part.column("ids"), pa.array(text, pa.string())],
+                    names=["doc_id", "ids", "decoded"],
+                )
 
     return run
 
