@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinomart.llm import exact_dedup, lang_id, line_dedup, mixing, pii, quality_rules, sentencepiece, url_filter
+from kinomart.llm import exact_dedup, lang_id, line_dedup, lm_score, mixing, pii, quality_rules, sentencepiece, url_filter
 from kinomart.llm.common import bucket, read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +30,10 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score(read(spark, sf_dir, "documents"), bucket("doc_id", 7) == 2)
+
+
 def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     model = lang_id.fit(docs.where(bucket("doc_id", 5) != 0))
@@ -76,6 +80,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_mixing": op1_mixing,
         "op2_exact_dedup": op2_exact_dedup,
+        "op3_lm_score": op3_lm_score,
         "op4_language": op4_language,
         "op5_quality_rules": op5_quality_rules,
         "op6_line_dedup": op6_line_dedup,
