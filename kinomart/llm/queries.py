@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinomart.llm import exact_dedup, lang_id, line_dedup, lm_score, mixing, pii, quality_rules, sentencepiece, url_filter
+from kinomart.llm import exact_dedup, lang_id, line_dedup, lm_score, mixing, near_dup, pii, quality_rules, sentencepiece, url_filter
 from kinomart.llm.common import bucket, read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -72,6 +72,10 @@ def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece.token_digests(read(spark, sf_dir, "documents"), tokenizer_model())
 
 
+def op9_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(read(spark, sf_dir, "documents"))
+
+
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pseudonymize(read(spark, sf_dir, "documents"))
 
@@ -86,5 +90,6 @@ def queries() -> dict[str, Query]:
         "op6_line_dedup": op6_line_dedup,
         "op7_url_filter": op7_url_filter,
         "op8_sentencepiece": op8_sentencepiece,
+        "op9_near_dup": op9_near_dup,
         "op10_pii": op10_pii,
     }
