@@ -9,21 +9,29 @@ context that training never showed has no estimate, and the mix ends above it.
 
 All counts follow from counts of byte strings of length depth + 1. Texts are dealt to blocks of
 bounded size. Each block reports its distinct strings and words; these are counted over the corpus,
-the tree is built and weighted level by level as tables, and each block gets back the log
-probabilities of its own strings and the counts of its own words. No table goes to every task.
+the tree is weighted from the longest contexts to the empty one and back, its upper part as tables
+and each lower part in one task, and each block gets back the log probabilities of its own strings
+and the counts of its own words. No table goes to every task.
 """
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kinomart.llm.byte_texts import EDGE, WIDTH, Texts
 from kinomart.llm.common import stored
 
-DEPTH = 4
+DEPTH = 5
+#: Contexts of this length and longer are weighted within tasks, shorter ones as tables.
+SUFFIX = 3
+GROUP_GRAMS = 500_000
 #: Bytes of text in a block, which one task holds at a time, and of a slice of it.
 BLOCK, SLICE = 32 << 20, 4 << 20
 END_WORD = 1
@@ -65,9 +73,23 @@ def _block_counts(parts: Texts, taught: np.ndarray, depth: int):
     return _merged(grams), _block_words(parts, taught)
 
 
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Compresses each text for its way to its block."""
+    codec = zstandard.ZstdCompressor(level=1)
+    for batch in batches:
+        packed = [codec.compress(t.as_buffer()) for t in batch.column("text")]
+        columns = [batch.column(c) for c in ("block", "doc_id", "taught")]
+        yield pa.RecordBatch.from_arrays([*columns, pa.array(packed, pa.binary())], names=["block", "doc_id", "taught", "packed"])
+
+
+def _unpacked(table: pa.Table) -> Texts:
+    codec = zstandard.ZstdDecompressor()
+    return Texts(pa.array([codec.decompress(p.as_buffer()) for p in table["packed"]], pa.large_binary()))
+
+
 def _report(depth: int):
     def run(key: tuple, table: pa.Table) -> pa.Table:
-        grams, words = _block_counts(Texts(table["text"]), table["taught"].to_numpy(), depth)
+        grams, words = _block_counts(_unpacked(table), table["taught"].to_numpy(), depth)
         size = len(grams[0]) + len(words[0])
         return pa.table(
             {
@@ -89,7 +111,7 @@ def _score(depth: int, total: int, distinct: int):
     """A block's scores from its answers."""
 
     def run(key: tuple, table: pa.Table, answers: pa.Table) -> pa.Table:
-        parts, taught = Texts(table["text"]), table["taught"].to_numpy()
+        parts, taught = _unpacked(table), table["taught"].to_numpy()
         size = table.num_rows
         kind, keys = answers["kind"].to_numpy(), answers["key"].to_numpy()
         value, seen = answers["value"].to_numpy(), answers["seen"].to_numpy()
@@ -128,88 +150,157 @@ def _score(depth: int, total: int, distinct: int):
     return run
 
 
-def log_gamma(x: Column) -> Column:
+def log_gamma(x: np.ndarray) -> np.ndarray:
     """ln of the gamma function for x > 0, by Stirling's series at x + 8."""
     y = x + 8
-    product = x
-    for k in range(1, 8):
-        product = product * (x + k)
-    series = 1 / (12 * y) - 1 / (360 * y * y * y) + 1 / (1260 * F.pow(y, F.lit(5.0)))
-    return (y - 0.5) * F.log(y) - y + 0.9189385332046727 + series - F.log(product)
+    product = np.multiply.reduce([x + k for k in range(8)])
+    series = 1 / (12 * y) - 1 / (360 * y**3) + 1 / (1260 * y**5)
+    return (y - 0.5) * np.log(y) - y + 0.5 * math.log(2 * math.pi) + series - np.log(product)
 
 
-def log_kt(zeros: str, ones: str) -> Column:
+def log_kt(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     """ln of the Krichevsky-Trofimov probability of so many zeros and ones."""
-    a, b = F.col(zeros).cast("double"), F.col(ones).cast("double")
-    return log_gamma(a + 0.5) + log_gamma(b + 0.5) - 1.1447298858494002 - log_gamma(a + b + 1)
+    return log_gamma(zeros + 0.5) + log_gamma(ones + 0.5) - math.log(math.pi) - log_gamma(zeros + ones + 1)
+
+
+def decisions(symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(node, bit, is one) of the nine decisions of each symbol; node 0 is the end, which is the
+    last decision of an EDGE."""
+    step = np.arange(8)
+    value = symbol[:, None] & 255
+    node = np.c_[np.zeros(len(symbol), np.int64), (value >> (8 - step)) + (1 << step)]
+    end = symbol == EDGE
+    bit = np.c_[end, value >> (7 - step) & 1].astype(np.int64)
+    valid = np.ones(node.shape, bool)
+    valid[end, 1:] = False
+    return node, bit, valid
+
+
+class Level:
+    """The decisions in contexts of one length: counts, estimates and weights."""
+
+    def __init__(self, codes: np.ndarray, zeros: np.ndarray, ones: np.ndarray, longer: np.ndarray | None):
+        self.codes, self.zeros, self.ones = codes, zeros, ones
+        self.estimate = (ones + 0.5) / (zeros + ones + 1)
+        own = log_kt(zeros, ones)
+        if longer is None:
+            self.weighted, self.stay = own, np.ones(len(codes))
+        else:  # the mean of the own estimate and the longer contexts' product
+            gap = longer - own
+            self.weighted = np.maximum(longer, own) + np.log1p(np.exp(-np.abs(gap))) - math.log(2)
+            self.stay = 1 / (1 + np.exp(np.minimum(gap, 700)))
+
+    def shorter(self, length: int) -> tuple[Level, np.ndarray]:
+        """The level of contexts of `length` symbols that these end in, and their places there."""
+        low = (1 << (WIDTH * length + WIDTH)) - 1
+        codes, place = np.unique(self.codes & low, return_inverse=True)
+        sums = [np.bincount(place, x, len(codes)) for x in (self.zeros, self.ones, self.weighted)]
+        return Level(codes, *sums), place
+
+
+def _levels(key: np.ndarray, seen: np.ndarray, depth: int, suffix: int):
+    """The levels from `depth` down to `suffix`, the places of each in the next, and the decisions of
+    each gram with their places in the first level. A code is a context and a node."""
+    node, bit, valid = decisions(key & ((1 << WIDTH) - 1))
+    all_codes = (key >> WIDTH << WIDTH)[:, None] | node
+    codes, place = np.unique(all_codes, return_inverse=True)
+    place = place.reshape(node.shape)
+    count = np.repeat(seen, 9).reshape(node.shape) * valid
+    zeros = np.bincount(place.ravel(), (count * (bit == 0)).ravel(), len(codes))
+    ones = np.bincount(place.ravel(), (count * (bit == 1)).ravel(), len(codes))
+    levels, places = [Level(codes, zeros, ones, None)], []
+    for length in range(depth - 1, suffix - 1, -1):
+        level, at = levels[-1].shorter(length)
+        levels.append(level)
+        places.append(at)
+    return levels, places, (place, bit, valid)
+
+
+def _lower(depth: int, suffix: int):
+    """The shortest contexts' level of a group of grams."""
+
+    def run(table: pa.Table) -> pa.Table:
+        top = _levels(table["key"].to_numpy(), table["seen"].to_numpy(), depth, suffix)[0][-1]
+        return pa.table({"code": top.codes, "a": top.zeros, "b": top.ones, "weighted": top.weighted, "stay": top.stay})
 
+    return run
 
-def decisions(symbol: Column) -> Column:
-    """array<struct<node, bit>>: the binary decisions of a symbol; node 0 is the end."""
-    bits = [
-        F.struct(
-            (F.shiftright(symbol, 8 - k) + F.lit(1 << k)).cast("int").alias("node"),
-            F.shiftright(symbol, 7 - k).bitwiseAND(F.lit(1)).cast("int").alias("bit"),
-        )
-        for k in range(8)
-    ]
-    end = F.struct(F.lit(0).alias("node"), (symbol == EDGE).cast("int").alias("bit"))
-    return F.when(symbol == EDGE, F.array(end)).otherwise(F.array(end, *bits))
+
+def _finish(depth: int, suffix: int):
+    """The log10 probabilities of a group's grams, given the mix over its shortest contexts."""
+
+    def run(key: tuple, table: pa.Table, mixes: pa.Table) -> pa.Table:
+        keys = table["key"].to_numpy()
+        if not len(keys):
+            return pa.table({"key": pa.array([], pa.int64()), "value": pa.array([], pa.float64())})
+        levels, places, (place, bit, valid) = _levels(keys, table["seen"].to_numpy(), depth, suffix)
+        order = np.argsort(mixes["code"].to_numpy())
+        mixed, reach, one = (mixes[c].to_numpy()[order] for c in ("mixed", "reach", "one"))
+        for above, level, at in zip(levels[:0:-1], levels[-2::-1], places[::-1], strict=True):
+            mixed = (mixed + reach * above.stay * above.estimate)[at]
+            reach = (reach * (1 - above.stay))[at]
+            one = np.where(level.zeros + level.ones > 0, mixed + reach * level.estimate, one[at])
+        chance = np.where(bit == 1, one[place], 1 - one[place])
+        value = np.where(valid, np.log10(chance), 0).sum(axis=1)
+        return pa.table({"key": keys, "value": value})
+
+    return run
 
 
-def gram_scores(grams: DataFrame, depth: int) -> DataFrame:
+def gram_scores(grams: DataFrame, depth: int, groups: int) -> DataFrame:
     """key, value: the log10 probability of the last symbol of each gram (key, seen) behind the
     others, by the tree that all grams' `seen` make."""
-    symbol = F.col("key").bitwiseAND(F.lit((1 << WIDTH) - 1))
-    split = grams.select("key", "seen", F.shiftright("key", WIDTH).alias("context"), F.inline(decisions(symbol)))
-    levels: list[DataFrame] = []
-    for d in range(depth, -1, -1):
-        if d == depth:
-            level = split.groupBy("context", "node").agg(
-                F.sum(F.when(F.col("bit") == 0, F.col("seen")).otherwise(0)).alias("a"),
-                F.sum(F.when(F.col("bit") == 1, F.col("seen")).otherwise(0)).alias("b"),
-            )
-            level = level.withColumn("own", log_kt("a", "b")).withColumn("weighted", F.col("own"))
-            level = level.withColumn("stay", F.lit(1.0))
-        else:
-            parent = F.col("context").bitwiseAND(F.lit((1 << (WIDTH * d)) - 1)).alias("context")
-            level = (
-                levels[-1]
-                .groupBy(parent, "node")
-                .agg(F.sum("a").alias("a"), F.sum("b").alias("b"), F.sum("weighted").alias("longer"))
-                .withColumn("own", log_kt("a", "b"))
-            )
-            # The weight of stopping here: own / (own + longer), and the mean of the two.
-            gap = F.col("longer") - F.col("own")
-            level = level.withColumn("stay", 1 / (1 + F.exp(F.least(gap, F.lit(700.0)))))
-            high = F.greatest("longer", "own")
-            mean = high + F.log1p(F.exp(-F.abs(gap))) - float(np.log(2))
-            level = level.withColumn("weighted", mean).drop("longer")
+    suffix = min(SUFFIX, depth)
+    low = (1 << (WIDTH * suffix)) - 1
+
+    def group(context: Column) -> Column:
+        return F.pmod(F.xxhash64(context), F.lit(groups)).alias("group")
+
+    dealt = grams.select(group(F.shiftright("key", WIDTH).bitwiseAND(F.lit(low))), "key", "seen")
+    lower = dealt.groupBy("group").applyInArrow(
+        _lower(depth, suffix), "code bigint, a double, b double, weighted double, stay double"
+    )
+    levels = [stored(lower)]
+    for length in range(suffix - 1, -1, -1):
+        level = (
+            levels[-1]
+            .groupBy(F.col("code").bitwiseAND(F.lit((1 << (WIDTH * length + WIDTH)) - 1)).alias("code"))
+            .agg(F.sum("a").alias("a"), F.sum("b").alias("b"), F.sum("weighted").alias("longer"))
+            .mapInArrow(_shorter, "code bigint, a double, b double, weighted double, stay double")
+        )
         levels.append(stored(level))
     levels.reverse()
-    one = (F.col("b") + 0.5) / (F.col("a") + F.col("b") + 1)
-    path = levels[0].select(
-        "context", "node", F.lit(0.0).alias("mixed"), F.lit(1.0).alias("reach"), one.alias("own"), "stay", one.alias("one")
-    )
-    for d in range(1, depth + 1):
+    estimate = (F.col("b") + 0.5) / (F.col("a") + F.col("b") + 1)
+    path = levels[0].select("code", F.lit(0.0).alias("mixed"), F.lit(1.0).alias("reach"), "stay", estimate.alias("own"), estimate.alias("one"))
+    for length in range(1, suffix + 1):
         above = path.select(
-            F.col("context").alias("parent"),
-            "node",
+            F.col("code").alias("parent"),
             (F.col("mixed") + F.col("reach") * F.col("stay") * F.col("own")).alias("mixed"),
             (F.col("reach") * (1 - F.col("stay"))).alias("reach"),
             F.col("one").alias("fallback"),
         )
-        here = levels[d].withColumn("parent", F.col("context").bitwiseAND(F.lit((1 << (WIDTH * (d - 1))) - 1)))
-        here = here.withColumn("own", one)
-        joined = here.join(above, ["parent", "node"])
-        estimate = F.when(F.col("a") + F.col("b") > 0, F.col("mixed") + F.col("reach") * F.col("own")).otherwise(F.col("fallback"))
-        path = joined.select("context", "node", "mixed", "reach", "own", "stay", estimate.alias("one"))
-    probability = F.when(F.col("bit") == 1, F.col("one")).otherwise(1 - F.col("one"))
-    return split.join(path.select("context", "node", "one"), ["context", "node"]).groupBy("key").agg(
-        F.sum(F.log10(probability)).alias("value")
+        parent = F.col("code").bitwiseAND(F.lit((1 << (WIDTH * (length - 1) + WIDTH)) - 1))
+        here = levels[length].select("code", "stay", "a", "b", estimate.alias("own"), parent.alias("parent"))
+        mixed = F.col("mixed") + F.col("reach") * F.col("own")
+        path = here.join(above, "parent").select(
+            "code", "mixed", "reach", "stay", "own", F.when(F.col("a") + F.col("b") > 0, mixed).otherwise(F.col("fallback")).alias("one")
+        )
+    mixes = path.select(group(F.shiftright("code", WIDTH)), "code", "mixed", "reach", "one")
+    return (
+        dealt.groupBy("group")
+        .cogroup(mixes.groupBy("group"))
+        .applyInArrow(_finish(depth, suffix), "key bigint, value double")
     )
 
 
+def _shorter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        code, zeros, ones, longer = (batch.column(c).to_numpy() for c in ("code", "a", "b", "longer"))
+        level = Level(code, zeros, ones, longer)
+        columns = {"code": code, "a": zeros, "b": ones, "weighted": level.weighted, "stay": level.stay}
+        yield pa.RecordBatch.from_pydict(columns)
+
+
 def score(docs: DataFrame, held_out: Column, depth: int = DEPTH, block: int = BLOCK) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, n_bytes: one row per row
     of `docs` (doc_id bigint, text).
@@ -223,17 +314,22 @@ def score(docs: DataFrame, held_out: Column, depth: int = DEPTH, block: int = BL
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), (~held_out).alias("taught"))
     spark = docs.sparkSession
     size = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
-    blocks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // block))
+    blocks = max(2 * spark.sparkContext.defaultParallelism, -(-size // block))
     rows = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int"))
+    rows = rows.mapInArrow(_pack, "block int, doc_id bigint, taught boolean, packed binary")
     reports = rows.groupBy("block").applyInArrow(_report(depth), "block int, kind int, key bigint, seen bigint")
     # A key's list holds at most one number per block.
     counts = stored(reports.groupBy("kind", "key").agg(F.sum("seen").alias("seen"), F.collect_list("block").alias("blocks")))
-    words = counts.where(F.col("kind") == WORD)
+    words, grams = (counts.where(F.col("kind") == k) for k in (WORD, GRAM))
     known = words.where("seen > 0").agg(F.sum("seen").alias("n"), F.count("*").alias("v")).first()
-    grams = counts.where(F.col("kind") == GRAM)
-    scored = gram_scores(grams.select("key", "seen"), depth)
-    answers = grams.join(scored, "key").select("kind", "key", "seen", "value", "blocks").unionByName(
-        words.where("size(blocks) > 1").select("kind", "key", "seen", F.lit(0.0).alias("value"), "blocks")
+    groups = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-grams.count() // GROUP_GRAMS))
+    scored = gram_scores(grams.select("key", "seen"), depth, groups)
+    answers = (
+        grams.join(scored, "key")
+        .select("kind", "key", "seen", F.col("value").cast("float").alias("value"), "blocks")
+        .unionByName(
+            words.where("size(blocks) > 1").select("kind", "key", "seen", F.lit(0).cast("float").alias("value"), "blocks")
+        )
     )
     answers = answers.select("kind", "key", "seen", "value", F.explode("blocks").alias("block"))
     return (
