@@ -112,14 +112,14 @@ def fit(labelled: DataFrame, max_documents: int = 20_000, max_entries: int = 50_
     return Model(sorted({e[0] for e in entries}), entries)
 
 
-def _predict(model: Model):
+def _predict(model: Model, text_column: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         size = len(model.languages)
         seen: dict[str, int] = {}
         rows = np.zeros((REMEMBERED, max(size, 1)))
         for batch in batches:
             names, scores = [], []
-            for text in batch.column("text_").to_pylist():
+            for text in batch.column(text_column).to_pylist():
                 counts = Counter(LETTERS.findall((text or "").lower()))
                 has_letter = any(map(str.isalpha, counts)) or any(c.isalpha() for w in counts for c in w)
                 if not (has_letter and size):
@@ -140,11 +140,9 @@ def _predict(model: Model):
                 best = int(evidence.argmax())
                 names.append(model.languages[best])
                 scores.append(float(1 / np.exp(evidence - evidence[best]).sum()))
-            kept = [n for n in batch.schema.names if n != "text_"]
-            columns = [batch.column(n) for n in kept]
             yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array(names, pa.string()), pa.array(scores, pa.float64())],
-                names=[*kept, "lang_pred", "score"],
+                [*batch.columns, pa.array(names, pa.string()), pa.array(scores, pa.float64())],
+                names=[*batch.schema.names, "lang_pred", "score"],
             )
 
     return run
@@ -159,9 +157,11 @@ def identify(docs: DataFrame, model: Model, carried: Sequence[str] = ("doc_id",)
     stay out.
     """
     types = dict(docs.dtypes)
-    rows = docs.select(*[F.col(c).alias(f"c_{i}") for i, c in enumerate(carried)], F.col("text").alias("text_"))
-    given = [f"c_{i} {types[c]}" for i, c in enumerate(carried)]
-    predicted = rows.mapInArrow(_predict(model), ", ".join([*given, "lang_pred string", "score double"]))
+    names = [*carried, *([] if "text" in carried else ["text"])]
+    rows = docs.select(*[F.col(c).alias(f"c_{i}") for i, c in enumerate(names)])
+    given = [f"c_{i} {types[c]}" for i, c in enumerate(names)]
+    at = names.index("text")
+    predicted = rows.mapInArrow(_predict(model, f"c_{at}"), ", ".join([*given, "lang_pred string", "score double"]))
     return predicted.select(*[F.col(f"c_{i}").alias(c) for i, c in enumerate(carried)], "lang_pred", "score")
 
 

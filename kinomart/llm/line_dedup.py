@@ -43,14 +43,15 @@ def _chunk(lines: str, span: str) -> Column:
 
 
 def dedup_lines(docs: DataFrame, window: int = WINDOW, chunkings: int = CHUNKINGS) -> DataFrame:
-    """The rows and columns of `docs`, text without repeated chunks, and n_lines, n_removed (lines).
+    """The rows and columns of `docs`, text without repeated chunks, and _lines, _removed (their numbers).
 
     A chunk counts if at least two of its lines are not blank. The first occurrence is that of the
     smallest doc_id (null ids last), text hash and line. Null texts stay null with no lines;
     rows repeated with one doc_id and text are one place and keep the same lines. A column of
-    `docs` that is called n_lines or n_removed is replaced. No rows give no rows.
+    `docs` that is called _lines or _removed is replaced. No rows give no rows.
     """
-    others = [c for c in docs.columns if c not in ("text", "n_lines", "n_removed")]
+    results = ("_lines", "_removed")
+    others = [c for c in docs.columns if c != "text" and c not in results]
     rows = docs.select(
         F.struct(*[F.col(c).alias(f"c_{i}") for i, c in enumerate(others)]).alias("row"),
         F.struct(
@@ -103,7 +104,11 @@ def dedup_lines(docs: DataFrame, window: int = WINDOW, chunkings: int = CHUNKING
     left = F.expr("transform(array_except(sequence(0, size(lines) - 1), gone), i -> lines[i])")
     text = F.when(F.size("gone") > 0, F.array_join(left, "\n")).otherwise(F.col("text"))
     return checked.select(
-        *[text.alias("text") if c == "text" else F.col(f"row.c_{others.index(c)}").alias(c) for c in docs.columns if c not in ("n_lines", "n_removed")],
-        F.coalesce(F.greatest(F.size("lines"), F.lit(0)), F.lit(0)).cast("long").alias("n_lines"),
-        F.size("gone").cast("long").alias("n_removed"),
+        *[
+            text.alias("text") if c == "text" else F.col(f"row.c_{others.index(c)}").alias(c)
+            for c in docs.columns
+            if c not in results
+        ],
+        F.greatest(F.coalesce(F.size("lines"), F.lit(0)), F.lit(0)).cast("long").alias("_lines"),
+        F.size("gone").cast("long").alias("_removed"),
     )

@@ -47,7 +47,7 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     clean = line_dedup.dedup_lines(read(spark, sf_dir, "documents"))
-    return clean.select("doc_id", "text", "n_lines", "n_removed")
+    return clean.select("doc_id", "text", F.col("_lines").alias("n_lines"), F.col("_removed").alias("n_removed"))
 
 
 #: The rules of the url query, as (host, path, verdict).
