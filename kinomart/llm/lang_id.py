@@ -165,6 +165,6 @@ def identify(docs: DataFrame, model: Model, carried: Sequence[str] = ("doc_id",)
     return predicted.select(*[F.col(f"c_{i}").alias(c) for i, c in enumerate(carried)], "lang_pred", "score")
 
 
-def accepted(min_score: float = 0.5) -> Column:
+def accepted(min_score: float = 0.3) -> Column:
     """Whether a prediction names a language with at least this posterior."""
     return (F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_score)

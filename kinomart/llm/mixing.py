@@ -122,7 +122,7 @@ def plan(
     open_block = (
         blocks.withColumn("ahead", F.coalesce(ahead, F.lit(0)))
         .join(quotas.select("source", "rest"), "source")
-        .where("ahead <= rest")
+        .where("rest > 0 and ahead <= rest")
         .groupBy("source")
         .agg(F.max(F.struct("block", F.expr("rest - ahead").alias("room"))).alias("last"))
         .select("source", "last.block", "last.room")

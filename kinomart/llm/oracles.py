@@ -92,7 +92,8 @@ p AS (
            CAST(floor(CAST('0x' || substr(d.o, 1, 8) AS BIGINT) / 4294967296.0 * w.n_blocks) AS BIGINT) AS block
     FROM d JOIN w USING (label)),
 used AS (
-    SELECT *, sum(n) OVER (PARTITION BY label ORDER BY o, doc_id ROWS UNBOUNDED PRECEDING) <= rest AS cut FROM p)
+    SELECT *, rest > 0 AND sum(n) OVER (PARTITION BY label ORDER BY o, doc_id ROWS UNBOUNDED PRECEDING) <= rest AS cut
+    FROM p)
 SELECT doc_id, source, unnest(generate_series(0, passes + CAST(cut AS BIGINT) - 1)) AS epoch, block FROM used"""
 
 LINE_DEDUP = r"""
