@@ -14,15 +14,21 @@ import sys
 from pyspark.sql import DataFrame, SparkSession
 
 from kinomart.plans import checks, pipeline
-from kinomart.session import SETTINGS, materialize
+from kinomart.session import SETTINGS, folder_bytes, materialize, remove_work_folders, shuffle_settings
 from kinomart.sources.tables import loader
 
 
-def _session() -> SparkSession:
+def _session(folder: str | None) -> SparkSession:
+    """A session whose shuffles fit the size of the input folder."""
     builder = SparkSession.builder.appName("kinomart")
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    if folder:
+        sized = shuffle_settings(folder_bytes(spark, folder), spark.sparkContext.defaultParallelism)
+        for key, value in sized.items():
+            spark.conf.set(key, value)
+    return spark
 
 
 def _conclude(report: DataFrame, out: str) -> int:
@@ -40,15 +46,23 @@ def main(arguments: list[str] | None = None) -> int:
     build = commands.add_parser("build")
     build.add_argument("--source", choices=["parquet", "dump", "table", "tpch"], required=True)
     build.add_argument("--folder", required=True, help="folder, or database of catalog tables")
+    build.add_argument(
+        "--file", action="append", default=[], metavar="TABLE=NAME", help="dump file of another name"
+    )
     check = commands.add_parser("check")
     for command in (build, check):
         command.add_argument("--out", required=True)
     options = parser.parse_args(arguments)
-    spark = _session()
     if options.command == "build":
-        load = loader(spark, options.source, options.folder)
-        return _conclude(pipeline.build(spark, load, options.out)[1], options.out)
-    return _conclude(checks.summary(pipeline.stored(spark, options.out)), options.out)
+        spark = _session(options.folder if options.source != "table" else None)
+        files = dict(pair.split("=", 1) for pair in options.file)
+        load = loader(spark, options.source, options.folder, files)
+        code = _conclude(pipeline.build(spark, load, options.out)[1], options.out)
+    else:
+        spark = _session(options.out)
+        code = _conclude(checks.everything(pipeline.stored(spark, options.out)), options.out)
+    remove_work_folders(spark)
+    return code
 
 
 if __name__ == "__main__":

@@ -24,10 +24,10 @@ _STOCK = """(p_film_id BIGINT, p_store_id BIGINT) RETURNS TABLE (p_film_count BI
 
 FUNCTIONS = {
     # An item the inventory does not know counts as in stock, whatever its rentals say.
-    "inventory_in_stock": """(p_inventory_id BIGINT) RETURNS BOOLEAN
+    "inventory_in_stock": """(p_inventory_id {item}) RETURNS BOOLEAN
         RETURN (SELECT count(*) FROM rental JOIN inventory USING (inventory_id)
                 WHERE return_date IS NULL AND inventory_id = p_inventory_id) = 0""",
-    "inventory_held_by_customer": """(p_inventory_id BIGINT) RETURNS BIGINT
+    "inventory_held_by_customer": """(p_inventory_id {item}) RETURNS BIGINT
         RETURN (SELECT min(customer_id) FROM rental
                 WHERE return_date IS NULL AND inventory_id = p_inventory_id)""",
     "film_in_stock": _STOCK.format(join="ANTI"),
@@ -64,7 +64,8 @@ def register(spark: SparkSession, models: Models, relations: Iterable[str] | Non
     columns = {
         "customer": ", ".join(f"{name} {dtype}" for name, dtype in customer.dtypes),
         "names": ", ".join(customer.columns),
+        "item": dict(models["inventory"].dtypes)["inventory_id"],
     }
     for name, body in FUNCTIONS.items():
-        text = body.format(**columns) if "{names}" in body else body
+        text = body.format(**columns)
         spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}{text}")

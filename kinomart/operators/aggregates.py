@@ -16,21 +16,14 @@ def group_concat(
 ) -> DataFrame:
     """One ordered list of texts per group; NULLs are skipped, a group of NULLs gives NULL.
 
-    Rows are range-partitioned by group and text first, so the rows of a large group are
-    sorted and joined by several tasks, and the last step only strings finished pieces
-    together in order. ``near`` names the keys of the next join: the result is then already
-    partitioned for it.
+    A group's list is one value in the end, so its texts meet in one task; they are listed there
+    with a single shuffle by the group's keys, or by ``near``, those of them that the next join
+    needs.
     """
     mark = separator.replace("'", "''")
-    pieces = (
-        df.select(*keys, F.col(value).alias("_text"))
-        .repartitionByRange(*keys, "_text")
-        .withColumn("_piece", F.spark_partition_id())
-        .groupBy(*keys, "_piece")
-        .agg(F.expr(f"listagg(_text, '{mark}') within group (order by _text)").alias("_text"))
-    )
+    texts = df.select(*keys, F.col(value).alias("_text"))
     if near:
-        pieces = pieces.repartition(*near)
-    return pieces.groupBy(*keys).agg(
-        F.expr(f"listagg(_text, '{mark}') within group (order by _piece)").alias(out)
+        texts = texts.repartition(*near)
+    return texts.groupBy(*keys).agg(
+        F.expr(f"listagg(_text, '{mark}') within group (order by _text)").alias(out)
     )

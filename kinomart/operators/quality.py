@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from datetime import date, datetime
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -13,13 +14,24 @@ def any_null(columns: Sequence[str]) -> Column:
     return reduce(Column.__or__, [F.col(c).isNull() for c in columns])
 
 
+Bound = float | date | str
+
+
+def _literal(bound: Bound) -> str:
+    if isinstance(bound, datetime):
+        return f"TIMESTAMP_NTZ '{bound}'"
+    if isinstance(bound, date):
+        return f"DATE '{bound}'"
+    return "'" + bound.replace("'", "\\'") + "'" if isinstance(bound, str) else str(bound)
+
+
 def out_of_range(
-    column: str, low: float | None = None, high: float | None = None, inclusive: bool = True
+    column: str, low: Bound | None = None, high: Bound | None = None, inclusive: bool = True
 ) -> str:
     """Condition that is true outside the bounds, and NULL for a NULL value."""
     below, above = ("<", ">") if inclusive else ("<=", ">=")
-    tests = [f"`{column}` {below} {low}"] if low is not None else []
-    tests += [f"`{column}` {above} {high}"] if high is not None else []
+    tests = [f"`{column}` {below} {_literal(low)}"] if low is not None else []
+    tests += [f"`{column}` {above} {_literal(high)}"] if high is not None else []
     if not tests:
         raise ValueError("a range needs at least one bound")
     return " OR ".join(tests)
@@ -53,15 +65,18 @@ def orphan_keys(
 ) -> DataFrame:
     """Missing keys of all references of a child: (column, value, n_records).
 
-    ``references`` maps a child column to its parent and the parent's key; keys are integers.
-    The child is read once for all of its references, and rows are counted per key before
+    ``references`` maps a child column to its parent and the parent's key. Integers are compared
+    as such, other keys by their text; ``value`` is the key's text. The child is read once for all of its references, and rows are counted per key before
     anything is shuffled, so a key that fills the child costs no more than any other.
     """
     columns = list(references)
+    kinds = [dict(child.dtypes)[c] for c in columns]
+    kinds += [dict(parent.dtypes)[key] for parent, key in references.values()]
+    kind = "bigint" if set(kinds) <= {"tinyint", "smallint", "int", "bigint"} else "string"
 
     def keyed(position: int, key: str) -> Column:
         return F.struct(
-            F.lit(position).alias("position"), F.col(key).cast("bigint").alias("value")
+            F.lit(position).alias("position"), F.col(key).cast(kind).alias("value")
         )
 
     found = F.array(*[keyed(i, c) for i, c in enumerate(columns)])
@@ -80,7 +95,7 @@ def orphan_keys(
     )
     names = F.array(*[F.lit(c) for c in columns])
     return counts.join(parents, ["position", "value"], "left_anti").select(
-        F.get(names, F.col("position")).alias("column"), "value", "n_records"
+        F.get(names, F.col("position")).alias("column"), F.col("value").cast("string").alias("value"), "n_records"
     )
 
 
@@ -106,7 +121,7 @@ def unexpected_values(df: DataFrame, accepted: Mapping[str, Sequence[str]]) -> D
 
 
 def out_of_range_rows(
-    df: DataFrame, column: str, low: float | None = None, high: float | None = None,
+    df: DataFrame, column: str, low: Bound | None = None, high: Bound | None = None,
     inclusive: bool = True,
 ) -> DataFrame:
     return df.where(out_of_range(column, low, high, inclusive))

@@ -18,7 +18,7 @@ STOP_WORDS = (
     "such no nor not only own same so than too very s t can will just don should now"
 ).split()
 
-SEPARATOR = "[^a-z0-9]+"
+SEPARATOR = r"[^\p{L}\p{M}\p{N}]+"  # letters and digits of any script
 
 
 def token_index(df: DataFrame, key: str, texts: Sequence[str]) -> DataFrame:

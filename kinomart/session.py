@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
+    "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -23,6 +25,7 @@ SETTINGS = {
 
 PARTITION_BYTES = 256 << 20
 THREADS = 12  # tables written side by side
+_work_folders: list[str] = []
 
 
 def shuffle_settings(input_bytes: int, cores: int) -> dict[str, str]:
@@ -57,18 +60,67 @@ def work_folder(spark: SparkSession) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
         root = tempfile.mkdtemp(prefix="kinomart-")
-    return f"{root.rstrip('/')}/kinomart-{uuid.uuid4().hex}"
+    if not _work_folders:
+        atexit.register(_at_exit)
+    _work_folders.append(f"{root.rstrip('/')}/kinomart-{uuid.uuid4().hex}")
+    return _work_folders[-1]
+
+
+def _path(spark: SparkSession, path: str):
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    files, place = _path(spark, path)
+    return files.exists(place)
+
+
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of all files in a folder."""
+    files, place = _path(spark, path)
+    return files.getContentSummary(place).getLength()
+
+
+def _replace(spark: SparkSession, fresh: str, path: str) -> None:
+    """Put a complete folder in another one's place."""
+    files, place = _path(spark, path)
+    _, new = _path(spark, fresh)
+    _, old = _path(spark, f"{path.rstrip('/')}.old-{uuid.uuid4().hex}")
+    files.rename(place, old)
+    files.rename(new, place)
+    files.delete(old, True)
+
+
+def remove_work_folders(spark: SparkSession) -> None:
+    """Delete the work folders of this process; results that read them are gone afterwards."""
+    while _work_folders:
+        files, place = _path(spark, _work_folders.pop())
+        files.delete(place, True)
+
+
+def _at_exit() -> None:
+    spark = SparkSession.getActiveSession()
+    if spark is not None:
+        remove_work_folders(spark)
 
 
 def materialize(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Write a table in full and read it back.
 
-    The copy cuts the lineage, survives the loss of executors, and has a real size on
+    A folder that exists is replaced once the new copy is complete, so a failed write leaves it as
+    it was, and a table may be written in place of what it reads. The copy cuts the lineage, survives the loss of executors, and has a real size on
     disk, so that Spark broadcasts it only if that size is below its threshold.
     """
     rows = df
     if partition_by:
         # One writer per partition at best; large partitions are split, small ones merged.
         rows = df.hint("rebalance", *[F.col(c) for c in partition_by])
-    rows.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    spark = df.sparkSession
+    if not _exists(spark, path):
+        rows.write.partitionBy(*partition_by).parquet(path)
+    else:  # complete first, then in the old one's place: it may be what is being read
+        fresh = f"{path.rstrip('/')}.new-{uuid.uuid4().hex}"
+        rows.write.partitionBy(*partition_by).parquet(fresh)
+        _replace(spark, fresh, path)
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)

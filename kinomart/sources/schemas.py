@@ -7,6 +7,7 @@ from typing import NamedTuple
 from pyspark.sql import types as T
 
 _TYPES = {
+    "bigint": T.LongType(),
     "int": T.IntegerType(),
     "smallint": T.ShortType(),
     "string": T.StringType(),
@@ -19,33 +20,33 @@ _TYPES = {
     "binary": T.BinaryType(),
 }
 
-# Column types as Spark reads them. char(n) and bytea are decoded by the text reader.
+# Column types as Spark reads them; all keys are as wide as any source may have them. char(n) and bytea are decoded by the text reader.
 _COLUMNS = {
-    "actor": "actor_id int, first_name string, last_name string, last_update timestamp_ntz",
-    "address": "address_id int, address string, address2 string, district string, city_id smallint,"
+    "actor": "actor_id bigint, first_name string, last_name string, last_update timestamp_ntz",
+    "address": "address_id bigint, address string, address2 string, district string, city_id bigint,"
     " postal_code string, phone string, last_update timestamp_ntz",
-    "category": "category_id int, name string, last_update timestamp_ntz",
-    "city": "city_id int, city string, country_id smallint, last_update timestamp_ntz",
-    "country": "country_id int, country string, last_update timestamp_ntz",
-    "customer": "customer_id int, store_id smallint, first_name string, last_name string,"
-    " email string, address_id smallint, activebool boolean, create_date date,"
+    "category": "category_id bigint, name string, last_update timestamp_ntz",
+    "city": "city_id bigint, city string, country_id bigint, last_update timestamp_ntz",
+    "country": "country_id bigint, country string, last_update timestamp_ntz",
+    "customer": "customer_id bigint, store_id bigint, first_name string, last_name string,"
+    " email string, address_id bigint, activebool boolean, create_date date,"
     " last_update timestamp_ntz, active int",
-    "film": "film_id int, title string, description string, release_year int,"
-    " language_id smallint, rental_duration smallint, rental_rate decimal(4,2),"
+    "film": "film_id bigint, title string, description string, release_year int,"
+    " language_id bigint, rental_duration smallint, rental_rate decimal(4,2),"
     " length smallint, replacement_cost decimal(5,2), rating string,"
     " last_update timestamp_ntz, special_features array<string>, fulltext string",
-    "film_actor": "actor_id smallint, film_id smallint, last_update timestamp_ntz",
-    "film_category": "film_id smallint, category_id smallint, last_update timestamp_ntz",
-    "inventory": "inventory_id int, film_id smallint, store_id smallint, last_update timestamp_ntz",
-    "language": "language_id int, name string, last_update timestamp_ntz",
-    "payment": "payment_id int, customer_id smallint, staff_id smallint, rental_id int,"
+    "film_actor": "actor_id bigint, film_id bigint, last_update timestamp_ntz",
+    "film_category": "film_id bigint, category_id bigint, last_update timestamp_ntz",
+    "inventory": "inventory_id bigint, film_id bigint, store_id bigint, last_update timestamp_ntz",
+    "language": "language_id bigint, name string, last_update timestamp_ntz",
+    "payment": "payment_id bigint, customer_id bigint, staff_id bigint, rental_id bigint,"
     " amount decimal(5,2), payment_date timestamp_ntz",
-    "rental": "rental_id int, rental_date timestamp_ntz, inventory_id int, customer_id smallint,"
-    " return_date timestamp_ntz, staff_id smallint, last_update timestamp_ntz",
-    "staff": "staff_id int, first_name string, last_name string, address_id smallint,"
-    " email string, store_id smallint, active boolean, username string, password string,"
+    "rental": "rental_id bigint, rental_date timestamp_ntz, inventory_id bigint, customer_id bigint,"
+    " return_date timestamp_ntz, staff_id bigint, last_update timestamp_ntz",
+    "staff": "staff_id bigint, first_name string, last_name string, address_id bigint,"
+    " email string, store_id bigint, active boolean, username string, password string,"
     " last_update timestamp_ntz, picture binary",
-    "store": "store_id int, manager_staff_id smallint, address_id smallint,"
+    "store": "store_id bigint, manager_staff_id bigint, address_id bigint,"
     " last_update timestamp_ntz",
 }
 

@@ -15,16 +15,36 @@ from kinomart.sources.text import read_dump
 from kinomart.sources.tpch import TpchSources
 
 
+def declared(df: DataFrame, table: str) -> DataFrame:
+    """The table's declared columns in their declared types, a missing one as NULLs.
+
+    Files and catalogs may hold narrower or wider numbers; the casts raise where a value does not
+    fit, and never wrap it.
+    """
+    return df.select(
+        *[
+            (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in SCHEMAS[table]
+        ]
+    )
+
+
 def read_parquet(spark: SparkSession, table: str, folder: str) -> DataFrame:
-    return spark.read.schema(SCHEMAS[table]).parquet(f"{folder}/{table}")
+    return declared(spark.read.parquet(f"{folder}/{table}"), table)
 
 
-def loader(spark: SparkSession, kind: str, folder: str) -> Callable[[str], DataFrame]:
-    """Base tables by name: ``parquet`` folders, ``dump`` files or catalog ``table`` names."""
+def loader(
+    spark: SparkSession, kind: str, folder: str, files: Mapping[str, str] | None = None
+) -> Callable[[str], DataFrame]:
+    """Base tables by name: ``parquet`` folders, ``dump`` files or catalog ``table`` names.
+
+    ``files`` names dump files that are not called after their table.
+    """
+    files = files or {}
     readers: dict[str, Callable[[str], DataFrame]] = {
         "parquet": lambda name: read_parquet(spark, name, folder),
-        "dump": lambda name: read_dump(spark, name, f"{folder}/{name}.dat"),
-        "table": lambda name: spark.table(f"{folder}.{name}"),
+        "dump": lambda name: read_dump(spark, name, f"{folder}/{files.get(name, f'{name}.dat')}"),
+        "table": lambda name: declared(spark.table(f"{folder}.{name}"), name),
         "tpch": TpchSources(spark, folder),
     }
     return readers[kind]
@@ -52,7 +72,7 @@ def read_jdbc(
 
 def discover(spark: SparkSession, database: str | None = None) -> dict[str, StructType]:
     """Schemas of the tables and views of one database."""
-    names = [t.name for t in spark.catalog.listTables(database)]
+    names = [t.name for t in spark.catalog.listTables(database) if not (database and t.isTemporary)]
     prefix = f"{database}." if database else ""
     return {name: spark.table(prefix + name).schema for name in names}
 
@@ -69,13 +89,14 @@ def select_tables(
     return {name: key for name, key in chosen.items() if key}
 
 
-def with_defaults(df: DataFrame, table: str, loaded_at: str) -> DataFrame:
-    """Fill missing columns and NULLs with the table's column defaults."""
+def with_defaults(df: DataFrame, table: str, loaded_at: str | None = None) -> DataFrame:
+    """Fill missing columns and NULLs with the table's column defaults, as of a moment or now."""
     defaults = dict(DEFAULTS.get(table, {}))
+    moment = f"timestamp_ntz '{loaded_at}'" if loaded_at else "localtimestamp()"
     if table in STAMPED:
-        defaults["last_update"] = f"timestamp_ntz '{loaded_at}'"
+        defaults["last_update"] = moment
     if table == "customer":
-        defaults["create_date"] = f"date(timestamp_ntz '{loaded_at}')"
+        defaults["create_date"] = f"date({moment})"
     types = {f.name: f.dataType for f in SCHEMAS[table]}
     filled = {}
     for name, sql in defaults.items():
@@ -90,9 +111,15 @@ def ingest_names(df: DataFrame) -> DataFrame:
 
 
 def replicate(
-    load: Callable[[str], DataFrame], tables: Iterable[str], database: str | None = None
+    load: Callable[[str], DataFrame],
+    tables: Iterable[str],
+    database: str | None = None,
+    source_keys: Mapping[str, tuple[str, ...]] | None = None,
 ) -> list[str]:
-    """Full refresh: overwrite each target table with the whole source table."""
+    """Full refresh: overwrite each target table with the whole source table.
+
+    Tables without a configured key are copied if ``source_keys`` has one for them.
+    """
 
     def copy(name: str) -> str:
         target = f"{database}.{name}" if database else name
@@ -100,4 +127,4 @@ def replicate(
         return target
 
     with ThreadPoolExecutor(THREADS) as pool:
-        return list(pool.map(copy, select_tables(tables)))
+        return list(pool.map(copy, select_tables(tables, source_keys=source_keys)))

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from kinomart.sources.schemas import RATINGS
 
@@ -35,7 +36,8 @@ def _loaded() -> Column:
 
 
 def _inventory_id() -> Column:
-    return F.col("l_partkey") * 1_000_000_000 + F.col("l_suppkey")
+    # Both keys may take all of a bigint: 19 digits are left for the supplier.
+    return F.expr("cast(l_partkey AS decimal(19,0)) * 10000000000000000000BD + l_suppkey").cast("decimal(38,0)")
 
 
 def _category_id() -> Column:
@@ -77,18 +79,23 @@ class TpchSources:
         )
 
     def payment(self) -> DataFrame:
-        lines = self._read("lineitem").groupBy("l_orderkey", "l_linenumber").agg(
-            F.min("l_shipdate").alias("payment_date"),
-            F.min("l_suppkey").alias("staff_id"),
+        """Each line is a payment. Lines that share order and line number are counted through; an
+        order's lines are few, and those that are alike in all of these columns change places."""
+        nth = F.row_number().over(
+            Window.partitionBy("l_orderkey", "l_linenumber").orderBy("l_shipdate", "l_suppkey")
+        )
+        lines = self._read("lineitem").select(
+            "l_orderkey", "l_linenumber", "l_shipdate", "l_suppkey", nth.alias("nth")
         )
         orders = self._read("orders").select("o_orderkey", "o_custkey")
+        payment_id = "cast(l_orderkey AS decimal(19,0)) * 1000000000000000000BD + l_linenumber * 1000000000BD + nth"
         return lines.join(orders, lines.l_orderkey == orders.o_orderkey).select(
-            (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("payment_id"),
+            F.expr(payment_id).cast("decimal(38,0)").alias("payment_id"),
             F.col("o_custkey").alias("customer_id"),
-            "staff_id",
+            F.col("l_suppkey").alias("staff_id"),
             F.col("l_orderkey").alias("rental_id"),
             F.expr("cast(l_linenumber * 0.99 as decimal(5,2))").alias("amount"),
-            "payment_date",
+            F.col("l_shipdate").alias("payment_date"),
         )
 
     def _pairs(self) -> DataFrame:

@@ -47,7 +47,7 @@ def test_filters_reach_the_scan(spark, models):
     )
     assert "PushedFilters: [IsNotNull(o_orderdate), LessThanOrEqual(o_orderdate" in plan(balance)
     refresh = entry.refresh_rentals(spark, FOLDER)
-    assert "GreaterThanOrEqual(o_orderdate" in plan(refresh)
+    assert "LessThan(o_orderdate" in plan(refresh)
     assert date(1998, 1, 1).isoformat() in plan(refresh)
 
 
@@ -63,8 +63,15 @@ def test_each_sum_of_sales_reuses_its_joins_shuffle(models):
     assert text.count("Exchange hashpartitioning(inventory_id") <= 2
 
 
-def test_text_lists_are_range_partitioned(models):
-    assert "Exchange rangepartitioning(film_id" in plan(models["film_list"])
+def test_text_lists_need_one_exchange_and_no_sample(spark, models):
+    text = plan(models["film_list"])
+    assert "rangepartitioning" not in text and "rangepartitioning" not in plan(models["actor_info"])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(Models(TpchSources(spark, FOLDER))["actor_info"])
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "rangepartitioning" not in text
 
 
 def test_cast_lists_are_not_shuffled_again_for_the_film(spark, models):

@@ -142,11 +142,72 @@ def test_command_line(spark, tmp_path, capsys):
         materialize(fx.table(spark, name, rows[name]), f"{folder}/{name}")
     assert main(["build", "--source", "parquet", "--folder", folder, "--out", out]) == 1
     built = capsys.readouterr().out
-    assert "FAIL dim_film unique_film_id: 1" in built and "142 checks passed, 17 failed" in built
+    assert "FAIL dim_film unique_film_id: 1" in built and "FAIL customer foreign_key_address_id: 1" in built
     assert main(["check", "--out", out]) == 1
     assert capsys.readouterr().out == built
 
 
+def test_wide_and_narrow_keys_load_alike(spark, tmp_path):
+    rows = "SELECT CAST(id AS {kind}) AS {key}, timestamp_ntz '2020-01-01 00:00:00' AS last_update FROM VALUES (1), ({n}) AS t(id)"
+    for kind, n in (("int", 70000), ("bigint", 5_000_000_000), ("smallint", 30000)):
+        spark.sql(rows.format(kind=kind, key="film_id", n=n)).write.parquet(f"{tmp_path}/{kind}/inventory")
+        found = tables.read_parquet(spark, "inventory", f"{tmp_path}/{kind}")
+        assert sorted(r.film_id for r in found.collect()) == [1, n]
+        assert dict(found.dtypes)["film_id"] == "bigint" and found.first().store_id is None
+    with open(tmp_path / "odd.dat", "w") as file:
+        file.write("5\t70000\t1\t2020-01-01 00:00:00\n")
+    load = tables.loader(spark, "dump", str(tmp_path), {"inventory": "odd.dat"})
+    assert load("inventory").first().film_id == 70000
+
+
+def test_years_that_do_not_fit_raise(spark, tmp_path):
+    spark.sql("SELECT 5000000000 AS release_year").write.parquet(f"{tmp_path}/film")
+    with pytest.raises(Exception, match="CAST_OVERFLOW|overflow"):
+        tables.read_parquet(spark, "film", str(tmp_path)).collect()
+
+
+def test_a_table_is_replaced_only_by_a_complete_one(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    first = materialize(spark.range(5), path)
+    again = materialize(first.selectExpr("id + 1 AS id"), path)  # reads what it replaces
+    assert sorted(r.id for r in again.collect()) == [1, 2, 3, 4, 5]
+    with pytest.raises(Exception, match="broken"):
+        materialize(again.selectExpr("id + raise_error('broken') AS id"), path)
+    assert spark.read.parquet(path).count() == 5
+    assert [p.name for p in tmp_path.iterdir() if ".old" in p.name] == []
+
+
+def test_a_build_does_not_write_over_its_source(spark, tmp_path):
+    rows = fx.base()
+    for name in SCHEMAS:
+        materialize(fx.table(spark, name, rows[name]), f"{tmp_path}/{name}")
+    with pytest.raises(ValueError, match="holds the source"):
+        main(["build", "--source", "parquet", "--folder", str(tmp_path), "--out", str(tmp_path)])
+
+
+def test_work_folders_can_be_removed(spark, monkeypatch):
+    from kinomart import session
+
+    monkeypatch.setattr(session, "_work_folders", [])
+    folder = work_folder(spark)
+    materialize(spark.range(3), f"{folder}/t")
+    session.remove_work_folders(spark)
+    assert not session._exists(spark, folder)
+
+
+def test_a_source_defined_key_is_copied(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS keyed")
+    frames = {"note": spark.range(2), "view": spark.range(3)}
+    assert tables.replicate(frames.__getitem__, frames, "keyed", {"note": ("id",)}) == ["keyed.note"]
+    assert list(tables.discover(spark, "keyed")) == ["note"]
+    spark.sql("DROP DATABASE keyed CASCADE")
+
+
+def test_defaults_as_of_now(spark):
+    found = tables.with_defaults(spark.sql("SELECT 1 AS film_id"), "film").first()
+    assert found.rating == "G" and found.last_update is not None
+
+
 def test_shuffle_settings():
     assert shuffle_settings(10 << 30, 8)["spark.sql.shuffle.partitions"] == "40"
     assert shuffle_settings(1, 8)["spark.sql.shuffle.partitions"] == "8"
