@@ -22,17 +22,15 @@ def components(links: DataFrame) -> DataFrame:
         pointers = stored(both.groupBy("node").agg(F.least(F.col("node"), F.min("other")).alias("root")))
         while True:
             ends = pointers.select(F.col("node").alias("root"), F.col("root").alias("further"))
-            jumped = stored(pointers.join(ends, "root").select("node", F.col("further").alias("root"), (F.col("further") != F.col("root")).alias("moved")))
-            done = jumped.where("moved").isEmpty()
-            pointers = jumped.drop("moved")
-            if done:
+            jumps = pointers.join(ends, "root")
+            if jumps.where("further != root").isEmpty():
                 break
+            pointers = stored(jumps.select("node", F.col("further").alias("root")))
         if roots is None:
             roots = pointers
         else:
             step = pointers.select(F.col("node").alias("root"), F.col("root").alias("further"))
             roots = roots.join(step, "root", "left").select("node", F.coalesce("further", "root").alias("root"))
-        roots = stored(roots)
         left = pointers.withColumnRenamed("node", "a").withColumnRenamed("root", "ra")
         right = pointers.withColumnRenamed("node", "b").withColumnRenamed("root", "rb")
         contracted = edges.join(left, "a").join(right, "b").where("ra != rb")

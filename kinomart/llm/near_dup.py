@@ -172,92 +172,102 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, size: int =
         rows_in.mapInArrow(_sign(bands, rows, size), "id bigint, content string, n bigint, keys binary, registers binary")
     )
     # One document of each group of copies stands for all.
-    texts = stored(signed.groupBy("content").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("keys").alias("keys"), F.first("registers").alias("registers")))
-    copies = signed.join(texts.select("content", F.col("id").alias("first")), "content").select(F.col("id").alias("a"), F.col("first").alias("b")).where("a != b").distinct()
-    links = stored(copies)
-    keyed = _band_rows(texts, bands)
-    labels = stored(components(links))
+    texts = stored(
+        signed.groupBy("content").agg(
+            F.min("id").alias("id"),
+            F.first("n").alias("n"),
+            F.first("keys").alias("keys"),
+            F.first("registers").alias("registers"),
+        )
+    )
+    homes = signed.select("id", "content").join(texts.select("content", F.col("id").alias("first")), "content")
+    # Texts of one doc_id belong together.
+    spans = homes.groupBy("id").agg(F.min("first").alias("a"), F.max("first").alias("b")).where("a != b")
+    links = stored(spans.select("a", "b"))
+    keyed = _band_rows(texts, bands).withColumn("label", F.col("id"))
     for level in (1, 2, 3):
+        large = None
         if level < 3:
             pairs, large = _candidates(keyed, level, similarity)
         else:
             pairs = _rest(still, similarity)
-        found = _verified(rows_in, texts, stored(_across(pairs, labels)), similarity, size)
-        if not found.isEmpty():
-            links = stored(links.union(found))
-            labels = stored(components(links))
-        if level == 3:
+        links = stored(links.union(_verified(rows_in, texts, pairs, similarity, size)))
+        if large is None or large.isEmpty():
             break
-        # Large buckets whose documents are not all connected: dealt anew by a further band.
-        named = large.join(labels, F.col("id") == F.col("node"), "left").withColumn("label", F.coalesce("root", "id"))
-        named = stored(named.select("id", "n", "key", "band", "label"))
-        mixed = named.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low != high")
-        still = stored(named.join(mixed.select("key", "low"), "key"))
+        # Large buckets whose documents are not all connected.
+        labels = stored(components(links))
+        named = large.drop("label").join(labels, F.col("id") == F.col("node"), "left")
+        named = stored(named.select("id", "n", "key", "band", F.coalesce("root", "id").alias("label")))
+        home = named.groupBy("key").agg(
+            F.mode("label", True).alias("home"), F.min("label").alias("low"), F.max("label").alias("high")
+        )
+        still = stored(named.join(stored(home.where("low != high").select("key", "home")), "key"))
         if still.isEmpty():
             break
         if level == 1:
+            # Dealt anew by a further band, as far as documents outside of the bucket's main
+            # component are in the new bucket.
             more = _band_rows(texts, bands).select("id", F.col("band").alias("other"), F.col("key").alias("further"))
-            keyed = (
-                still.join(more, "id")
-                .where("other > band")
-                .select("id", "n", F.col("other").alias("band"), F.xxhash64("key", "further").alias("key"))
+            dealt = still.join(more, "id").where("other > band").select(
+                "id", "n", F.col("other").alias("band"), F.xxhash64("key", "further").alias("key"), "label", "home"
             )
-    ids = signed.select("id").join(labels, F.col("id") == F.col("node"), "left")
-    classes = ids.select("id", F.coalesce("root", "id").alias("class"))
-    sizes = classes.groupBy("class").agg(F.count("*").alias("class_size"))
-    return classes.join(stored(sizes), "class").select(
+            needed = dealt.where("label != home").select("key").distinct()
+            keyed = dealt.drop("home").join(needed, "key", "left_semi")
+    labels = stored(components(links))
+    classes = homes.join(labels, F.col("first") == F.col("node"), "left").select("id", F.coalesce("root", "first").alias("class"))
+    classes = stored(classes)
+    sizes = stored(classes.groupBy("class").agg(F.count("*").alias("class_size")))
+    return classes.join(sizes, "class").select(
         F.nullif("id", F.lit(NO_ID)).alias("doc_id"), F.nullif("class", F.lit(NO_ID)).alias("class_id"), "class_size"
     )
 
 
 def _candidates(keyed: DataFrame, level: int, similarity: float) -> tuple[DataFrame, DataFrame]:
-    """Pairs (a, b) to compare, and the rows of large buckets.
+    """Pairs (a, b) of different components to compare, and the rows of large buckets.
 
     Small buckets give all pairs whose sizes allow the similarity, in large ones each document meets
     one of them.
     """
     buckets = (
         keyed.groupBy("key")
-        .agg(F.count("*").alias("members"), F.min(F.struct(F.xxhash64("id", F.lit(level)).alias("h"), "id", "n")).alias("pivot"))
+        .agg(
+            F.count("*").alias("members"),
+            F.min(F.struct(F.xxhash64("id", F.lit(level)).alias("h"), "id", "n", "label")).alias("pivot"),
+        )
         .where("members > 1")
     )
     placed = stored(keyed.join(stored(buckets), "key"))
     few = placed.where(F.col("members") <= SMALL)
-    left = few.select("key", F.col("id").alias("a"), F.col("n").alias("na"))
-    right = few.select("key", F.col("id").alias("b"), F.col("n").alias("nb"))
-    pairs = left.join(right, "key").where((F.col("a") < F.col("b")) & _sizes_allow(similarity)).select("a", "b")
+    left = few.select("key", F.col("id").alias("a"), F.col("n").alias("na"), F.col("label").alias("la"))
+    right = few.select("key", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("label").alias("lb"))
+    pairs = left.join(right, "key").where((F.col("a") < F.col("b")) & _possible(similarity)).select("a", "b")
     large = placed.where(F.col("members") > SMALL)
     star = large.where("id != pivot.id").select(
         F.least("id", "pivot.id").alias("a"),
         F.greatest("id", "pivot.id").alias("b"),
         F.col("n").alias("na"),
         F.col("pivot.n").alias("nb"),
+        F.col("label").alias("la"),
+        F.col("pivot.label").alias("lb"),
     )
-    star = star.where(_sizes_allow(similarity)).select("a", "b")
-    return pairs.union(star).distinct(), large.select("id", "n", "key", "band")
+    star = star.where(_possible(similarity)).select("a", "b")
+    return pairs.union(star).distinct(), large.select("id", "n", "key", "band", "label")
 
 
-def _sizes_allow(similarity: float) -> Column:
-    return F.least("na", "nb") >= similarity * F.greatest("na", "nb")
+def _possible(similarity: float) -> Column:
+    """Different components, and sizes that allow the similarity."""
+    return (F.col("la") != F.col("lb")) & (F.least("na", "nb") >= similarity * F.greatest("na", "nb"))
 
 
 def _rest(still: DataFrame, similarity: float) -> DataFrame:
     """All pairs of the buckets left whose documents are in different components: those outside of
-    the bucket's first component against all."""
-    left = still.where("label != low").select("key", F.col("id").alias("a"), F.col("n").alias("na"), F.col("label").alias("la"))
+    the bucket's main component against all."""
+    left = still.where("label != home").select("key", F.col("id").alias("a"), F.col("n").alias("na"), F.col("label").alias("la"))
     right = still.select("key", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("label").alias("lb"))
-    met = left.join(right, "key").where((F.col("la") != F.col("lb")) & _sizes_allow(similarity))
+    met = left.join(right, "key").where(_possible(similarity))
     return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def _across(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs of different components."""
-    left = labels.select(F.col("node").alias("a"), F.col("root").alias("la"))
-    right = labels.select(F.col("node").alias("b"), F.col("root").alias("lb"))
-    named = pairs.join(left, "a", "left").join(right, "b", "left")
-    return named.where(F.coalesce("la", "a") != F.coalesce("lb", "b")).select("a", "b")
-
-
 def _verified(rows: DataFrame, texts: DataFrame, pairs: DataFrame, similarity: float, size: int) -> DataFrame:
     """The pairs whose shingle sets are similar enough."""
     left = texts.select(F.col("id").alias("a"), F.col("registers").alias("ra"))
@@ -267,9 +277,10 @@ def _verified(rows: DataFrame, texts: DataFrame, pairs: DataFrame, similarity: f
         return near
     wanted = near.select(F.col("a").alias("id")).union(near.select("b")).distinct()
     wanted = texts.select("id", "content").join(wanted, "id", "left_semi")
-    sets = stored(rows.join(wanted, ["id", "content"], "left_semi").dropDuplicates(["id", "content"]).mapInArrow(_sets(size), "id bigint, shingles array<bigint>"))
+    own = rows.join(wanted, ["id", "content"], "left_semi").dropDuplicates(["id", "content"])
+    sets = stored(own.mapInArrow(_sets(size), "id bigint, shingles array<bigint>"))
     one = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
     two = sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
     both = F.size(F.array_intersect("sa", "sb"))
     compared = near.join(one, "a").join(two, "b").select("a", "b", both.alias("both"), (F.size("sa") + F.size("sb") - both).alias("all"))
-    return stored(compared.where(F.col("both") >= similarity * F.col("all")).select("a", "b").distinct())
+    return compared.where(F.col("both") >= similarity * F.col("all")).select("a", "b").distinct()
