@@ -151,7 +151,8 @@ def exact_duplicates(
             "group_size",
             "n_members",
         )
-        placed = marks.join(groups, KEY)
+        # Stored, so that the join below stands by itself and a group that fills the table is split.
+        placed = marks.join(stored(groups), KEY)
         others = stored(
             placed.where("n_members > 1 and not (doc_id <=> keep_id and text_sha256 = keep_sha)").select(
                 "doc_id", "text_sha256", "keep_id", "keep_sha"
