@@ -83,7 +83,8 @@ def dedup_lines(docs: DataFrame, window: int = WINDOW, chunkings: int = CHUNKING
     bodies = marked.select("place", "lines", F.explode("spans").alias("s")).select(
         "place", F.col("s.span").alias("span"), F.col("s.chunk").alias("chunk"), F.col("s.origin").alias("origin"), _chunk("lines", "s.span").alias("body")
     )
-    first = bodies.where("origin").groupBy("chunk").agg(F.first("body").alias("kept_body"))
+    # Stored, so that the join below stands by itself and a chunk that fills the table is split.
+    first = stored(bodies.where("origin").groupBy("chunk").agg(F.first("body").alias("kept_body")))
     unlike = stored(
         bodies.where("not origin")
         .join(first, "chunk", "left")
