@@ -33,7 +33,7 @@ DEPTH = 5
 SUFFIX = 3
 GROUP_GRAMS = 500_000
 #: Bytes of text in a block, which one task holds at a time, and of a slice of it.
-BLOCK, SLICE = 32 << 20, 4 << 20
+BLOCK, SLICE = 16 << 20, 1 << 20
 END_WORD = 1
 GRAM, WORD = 0, 1
 
