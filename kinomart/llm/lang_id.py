@@ -148,8 +148,9 @@ def _predict(model: Model, text_column: str):
     return run
 
 
-def identify(docs: DataFrame, model: Model, carried: Sequence[str] = ("doc_id",)) -> DataFrame:
-    """The columns named in `carried`, lang_pred and score of every row's whole text.
+def identify(docs: DataFrame, model: Model, carried: Sequence[str] = ("doc_id",), results: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """The columns named in `carried`, and the prediction and score of every row's whole text, named
+    by `results`.
 
     Nothing but the text enters a prediction. Null texts and texts without a letter, and all texts
     if nothing was learned, are `und` with score 0. Equal evidence goes to the first language by
@@ -162,9 +163,9 @@ def identify(docs: DataFrame, model: Model, carried: Sequence[str] = ("doc_id",)
     given = [f"c_{i} {types[c]}" for i, c in enumerate(names)]
     at = names.index("text")
     predicted = rows.mapInArrow(_predict(model, f"c_{at}"), ", ".join([*given, "lang_pred string", "score double"]))
-    return predicted.select(*[F.col(f"c_{i}").alias(c) for i, c in enumerate(carried)], "lang_pred", "score")
+    return predicted.select(*[F.col(f"c_{i}").alias(c) for i, c in enumerate(carried)], F.col("lang_pred").alias(results[0]), F.col("score").alias(results[1]))
 
 
-def accepted(min_score: float = 0.3) -> Column:
+def accepted(min_score: float = 0.3, results: tuple[str, str] = ("lang_pred", "score")) -> Column:
     """Whether a prediction names a language with at least this posterior."""
-    return (F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_score)
+    return (F.col(results[0]) != UNKNOWN) & (F.col(results[1]) >= min_score)

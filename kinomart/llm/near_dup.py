@@ -32,7 +32,7 @@ SLICE = 2 << 20
 SMALL = 16
 #: Pairs whose registers agree in a smaller part are no candidates: 0.8 lies six deviations above.
 LEAST_AGREEMENT = 0.6
-NO_ID = -(1 << 63)
+NO_ID = (1 << 63) - 1  # behind all others
 
 
 def shingles(words: np.ndarray, owner: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -163,7 +163,7 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, size: int =
     is the smallest doc_id. Words are what white space parts, as written. Copies (equal up to white
     space) are one text; rows with one doc_id are one document, whatever their texts. Null and empty
     texts have no shingles and are only in a class with their copies. A null doc_id is an id of its
-    own. No rows give no rows.
+    own, behind all others. No rows give no rows.
     """
     rows_in = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), F.coalesce("text", F.lit("")).alias("text"))
     content = F.md5(F.trim(F.regexp_replace("text", SPACE, " ")).cast("binary"))
