@@ -5,6 +5,9 @@ its rolling hash has a given remainder, so that boundaries move along with the l
 put in before them. For each remainder there is one chunking. A chunk of several lines that occurs
 more than once over all documents stays where it occurs first and is removed elsewhere, once its
 bytes were found equal to the first one's.
+
+With `pairs`, chunks are all pairs of neighbouring lines instead. Every repeated passage of two or more
+lines is made of repeated pairs, so all of it goes, edges included.
 """
 
 from __future__ import annotations
@@ -38,14 +41,25 @@ def line_chunks(lines: str, window: int = WINDOW, chunkings: int = CHUNKINGS) ->
     )
 
 
+def line_pairs(lines: str) -> Column:
+    """array<struct<first, last>>: each line that is not blank up to the next one that is not."""
+    return F.expr(
+        f"""element_at(transform(array(filter(transform({lines}, (l, i) -> if(l rlike '\\\\S', i, -1)), i -> i >= 0)), n ->
+            zip_with(slice(n, 1, greatest(size(n) - 1, 0)), slice(n, 2, greatest(size(n) - 1, 0)),
+                     (a, b) -> struct(a AS first, b AS last))), 1)"""
+    )
+
+
 def _chunk(lines: str, span: str) -> Column:
     return F.expr(f"array_join(slice({lines}, {span}.first + 1, {span}.last - {span}.first + 1), '\\n')")
 
 
-def dedup_lines(docs: DataFrame, window: int = WINDOW, chunkings: int = CHUNKINGS) -> DataFrame:
+def dedup_lines(docs: DataFrame, window: int = WINDOW, chunkings: int = CHUNKINGS, pairs: bool = False) -> DataFrame:
     """The rows and columns of `docs`, text without repeated chunks, and _lines, _removed (their numbers).
 
-    A chunk counts if at least two of its lines are not blank. The first occurrence is that of the
+    A chunk counts if at least two of its lines are not blank. With `pairs`, two neighbouring lines and the
+    blank ones between them are a chunk, whatever `window` and `chunkings`; of a pair that overlaps its first
+    occurrence (a line three times in a row) only the line outside of it goes. The first occurrence is that of the
     smallest doc_id (null ids last), text hash and line. Null texts stay null with no lines;
     rows repeated with one doc_id and text are one place and keep the same lines. A column of
     `docs` that is called _lines or _removed is replaced. No rows give no rows.
@@ -60,7 +74,7 @@ def dedup_lines(docs: DataFrame, window: int = WINDOW, chunkings: int = CHUNKING
         "text",
         F.when(F.col("text").isNotNull(), F.split("text", "\n")).alias("lines"),
     )
-    cut = rows.select("place", "lines", F.explode(line_chunks("lines", window, chunkings)).alias("span"))
+    cut = rows.select("place", "lines", F.explode(line_pairs("lines") if pairs else line_chunks("lines", window, chunkings)).alias("span"))
     some = F.size(F.filter(F.expr("slice(lines, span.first + 1, span.last - span.first + 1)"), lambda x: x.rlike("\\S"))) > 1
     found = stored(
         cut.where(some).select("place", "span", F.md5(_chunk("lines", "span").cast("binary")).alias("chunk"))
@@ -71,10 +85,13 @@ def dedup_lines(docs: DataFrame, window: int = WINDOW, chunkings: int = CHUNKING
         .where("origin != final")
         .select("chunk", "origin")
     )
+    begin = F.col("span.first")
+    if pairs:
+        begin = F.when(F.col("place") == F.col("origin.place"), F.greatest(begin, F.col("origin.span.last") + 1)).otherwise(begin)
     spans = (
         found.join(repeated, "chunk")
         .groupBy("place")
-        .agg(F.collect_set(F.struct("span", "chunk", (F.struct("place", "span") == F.col("origin")).alias("origin"))).alias("spans"))
+        .agg(F.collect_set(F.struct("span", "chunk", (F.struct("place", "span") == F.col("origin")).alias("origin"), begin.alias("begin"))).alias("spans"))
     )
     marked = stored(rows.drop("lines").join(spans, "place", "left"))
     lines = F.when(F.col("text").isNotNull(), F.split("text", "\n"))
@@ -99,7 +116,7 @@ def dedup_lines(docs: DataFrame, window: int = WINDOW, chunkings: int = CHUNKING
     gone = F.expr(
         """array_distinct(flatten(transform(filter(coalesce(spans, array()),
            s -> NOT s.origin AND NOT coalesce(array_contains(unlike, s.span), false)),
-           s -> sequence(s.span.first, s.span.last))))"""
+           s -> sequence(s.begin, s.span.last))))"""
     )
     checked = checked.withColumn("gone", gone)
     left = F.expr("transform(array_except(sequence(0, size(lines) - 1), gone), i -> lines[i])")
