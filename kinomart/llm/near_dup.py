@@ -1,10 +1,11 @@
 """Near-duplicates by ProbMinHash.
 
-A document is its five-word shingles, weighted by how often they occur. Each shingle is a Poisson
-process whose rate is its weight: its arrivals fall, after exponential gaps, on random registers,
-and a register keeps the shingle that arrived first. A process ends once its next arrival is later
-than all registers' first ones. Two documents agree in a register with the probability Jaccard
-similarity of their weights.
+A document is the set of its five-word shingles. Each shingle is a Poisson process whose rate is its
+weight: its arrivals fall, after exponential gaps, on random registers, and a register keeps the
+shingle that arrived first. A process ends once its next arrival is later than all registers' first
+ones. Two documents agree in a register with the probability Jaccard similarity of their weights.
+All weights are 1, however often a shingle occurs, so that this is the Jaccard similarity of the sets, by
+which links are verified.
 
 Bands of registers put documents into buckets. Small buckets are compared pair by pair, in large
 ones every document with one other; documents of a large bucket that are not yet linked are dealt
@@ -95,9 +96,9 @@ def _sign(bands: int, rows: int, size: int):
             parts = Texts(batch.column("text"), lower=False)
             for text, start, end in parts.whole(SLICE):
                 words, owner = parts.words(text, start, end)
-                h, o, n = _distinct(*shingles(words, owner - text[0], size))
+                h, o, _ = _distinct(*shingles(words, owner - text[0], size))
                 # Arrivals' hashes must not be 0, which stands for none.
-                signed = signatures(h | np.uint64(1), o, n.astype(np.float64), len(text), bands * rows)
+                signed = signatures(h | np.uint64(1), o, np.ones(len(h)), len(text), bands * rows)
                 keys = np.zeros((len(text), bands), np.uint64)
                 for r in range(rows):
                     keys = mix(keys + signed[:, r::rows])
