@@ -64,7 +64,7 @@ ENTITIES = re.compile(
             r"(?P<ssn>(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-]))",
             r"(?P<phone>(?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,5}){1,4}(?!\w)"
             r"|(?<!\w)\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\w)|(?<![\w.-])(?:\d{3}-\d{3}-\d{4}|\d{3}\.\d{3}\.\d{4})(?![\w-]))",
-            r"(?P<card>(?<![\w.-])[3-6](?:[ -]?\d){12,18}(?![\w-]))",
+            r"(?P<card>(?<![\w.-])(?:[3-6]|2(?=2(?:0[0-4]|2[1-9]|[3-9]\d)|[3-6]\d\d|7[01]\d|720))(?:[ -]?\d){12,18}(?![\w-]))",
         )
     )
 )
@@ -80,6 +80,39 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+def _card_ends(run: str) -> tuple[list[int], list[int]]:
+    """Where a card that begins a run of digits can end, behind a whole group: ends that pass Luhn, and
+    those of 15 and 16 digits; 16 and 15 digits come before others."""
+    ends, digits = [], 0
+    for m in re.finditer(r"\d+", run):
+        digits += len(m[0])
+        if 13 <= digits <= 19:
+            ends.append((digits, m.end()))
+    ends.sort(key=lambda e: (e[0] != 16, e[0] != 15, -e[0]))
+    return [e for _, e in ends if luhn(run[:e])], [e for n, e in ends if n in (15, 16)]
+
+
+def _usual(card: str) -> bool:
+    return [len(g) for g in re.findall(r"\d+", card)] in ([len(card)], [4, 4, 4, 4], [4, 6, 5])
+
+
+def card_length(run: str) -> int:
+    """The length of the card that a run of digits begins with; 0 if there is none, or if a card of
+    usual groups that passes Luhn begins within a doubtful one."""
+    sure, maybe = _card_ends(run)
+    end = next((e for e in sure if _usual(run[:e])), 0)
+    if end or not (sure or maybe):
+        return end
+    end = [*sure, *maybe][0]
+    behind = sum(map(str.isdigit, run[end:]))
+    if not _usual(run[:end]) or 0 < behind < 13:
+        for m in re.finditer(r"(?<!\d)[2-6]", run[:end]):
+            rest = run[m.start() :]
+            if m.start() and any(_usual(rest[:e]) for e in _card_ends(rest)[0]):
+                return 0
+    return end
+
+
 def _number(key: bytes, *parts: object) -> int:
     return int.from_bytes(hashlib.blake2b("\x1f".join(map(str, parts)).encode("utf-8", "surrogatepass"), key=key, digest_size=32).digest(), "big")
 
@@ -143,7 +176,7 @@ def surrogate(kind: str, text: str, key: bytes = KEY) -> str:
         body = _shaped(f"{local}@{name}", key, kind + dot + top, valid=lambda s: _is(kind, f"{s}.{top}"))
         return f"{body}.{top}"
     if kind == "card":
-        return _shaped(text, key, kind, 1, lambda s: luhn(s) == luhn(text))
+        return _shaped(text, key, kind, 4 if text[0] == "2" else 1, lambda s: luhn(s) == luhn(text))
     if kind == "phone":
         keep = len(re.match(r"\+\d{1,3}(?=\D)|\+?", text).group())
         area = text[keep:].lstrip(" (.-")[:1]
@@ -197,13 +230,6 @@ def replace(text: str, tries: dict[str, int], syllables: int, key: bytes = KEY)
     """
     kinds: list[str] = []
 
-    def other(m: re.Match) -> str:
-        kind = m.lastgroup
-        if kind == "card" and len(re.sub(r"\D", "", m[0])) not in (15, 16) and not luhn(m[0]):
-            return m[0]
-        kinds.append(kind)
-        return surrogate(kind, m[0], key)
-
     first, last = names_in(text)
     if last:
         listed = re.compile(rf"(?<!\w)(?:{'|'.join(map(re.escape, sorted(last, key=lambda n: (-len(n), n))))})(?!\w)")
@@ -217,7 +243,20 @@ def replace(text: str, tries: dict[str, int], syllables: int, key: bytes = KEY)
                 kinds.append("name")
         text = "".join([*out, text[at:]])
     if re.search(r"[0-9@]|password=", text):
-        text = ENTITIES.sub(other, text)
+        out, at = [], 0
+        m = ENTITIES.search(text)
+        while m:
+            kind, (start, end) = m.lastgroup, m.span()
+            if kind == "card":
+                run = re.match(r"\d(?:[ -]?\d){,37}(?!\d)|\d+", text[start : start + 80])[0]
+                end = start + card_length(run)
+            if start < end:
+                out += [text[at:start], surrogate(kind, text[start:end], key)]
+                kinds.append(kind)
+                at = end
+            # What the pattern took along is searched too, behind a card or else behind the first digits.
+            m = ENTITIES.search(text, end if start < end else start + len(re.match(r"\d+", m[0])[0]))
+        text = "".join([*out, text[at:]])
     return text, kinds
 
 
