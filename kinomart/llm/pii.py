@@ -28,13 +28,54 @@ MAX_EXCEPTIONS = 100_000
 
 #: First names by script and gender.
 FIRST_NAMES = {
-    ("latin", "f"): ("Alice", "Anna", "Clara", "Elena", "Emma", "Julia", "Laura", "Lucia", "Maria", "Marie", "Nina", "Sarah", "Sophie"),
-    ("latin", "m"): ("Daniel", "David", "James", "John", "Lucas", "Martin", "Michael", "Oliver", "Paul", "Peter", "Robert", "Simon", "Thomas"),
-    ("cyrillic", "f"): ("Анна", "Елена", "Ирина", "Мария", "Наталья", "Ольга", "Татьяна"),
-    ("cyrillic", "m"): ("Алексей", "Дмитрий", "Иван", "Николай", "Павел", "Пётр", "Сергей"),
-}
-#: Titles in front of a surname.
-TITLES = ("Mr.", "Mrs.", "Ms.", "Mr", "Mrs", "Ms", "Herr", "Frau", "Mme", "Señor", "Señora", "Sr.", "Sra.")
+    ("latin", "f"): tuple(
+        """
+        Alice Amanda Amelia Amy Ana Andrea Angela Anna Anne Barbara Beatriz Brigitte Camille Carla Carmen
+        Carol Catherine Charlotte Chiara Christine Claire Clara Claudia Cristina Deborah Diana Dorothy Elena
+        Elisabeth Elizabeth Emily Emma Esther Eva Francesca Franziska Gabriele Giulia Hannah Heike Helen Helga
+        Ingrid Inés Isabel Isabelle Jane Jennifer Jessica Julia Julie Karen Karin Katharina Kathrin Laura
+        Linda Lisa Lucia Lucy Lucía Léa Manon Margaret Maria Marie Marta Martha Mary María Michelle Monika
+        Nancy Nathalie Nicole Nina Olivia Patricia Petra Pilar Rachel Rebecca Renate Rosa Ruth Sabine Samantha
+        Sandra Sara Sarah Silvia Sofia Sofía Sophie Stefanie Stephanie Susan Susanne Sylvie Teresa Ursula
+        Valentina Valérie Victoria Virginie
+        """.split()
+    ),
+    ("latin", "m"): tuple(
+        """
+        Adam Albert Alberto Alejandro Alexander Alfred Andreas Andrew Anthony Antoine Antonio Arthur Benjamin
+        Bernard Bernd Brian Carlos Charles Christian Christoph Christopher Daniel David Diego Dieter Dominik
+        Donald Edward Enrique Eric Felix Fernando Florian Francesco Francisco Franz François Friedrich Gary
+        Georg George Gerhard Giovanni Giuseppe Guillaume Günter Hans Heinz Helmut Henri Henry Hugo Jacob
+        Jacques James Jan Javier Jean Jeffrey Jens Joachim Johannes John Jonas Jonathan Joseph José Juan
+        Jérôme Jürgen Kenneth Kevin Klaus Laurent Lorenzo Luca Lucas Luis Lukas Manfred Manuel Marco Markus
+        Martin Matthew Matthias Max Michael Michel Miguel Nicolas Oliver Pablo Pascal Patrick Paul Pedro Peter
+        Philip Philippe Pierre Rafael Rainer Ralf Richard Robert Roberto Ryan Samuel Scott Sebastian Sergio
+        Simon Stefan Stephen Steven Thierry Thomas Timothy Uwe Vincent Walter Werner William Wolfgang
+        """.split()
+    ),
+    ("cyrillic", "f"): tuple(
+        """
+        Александра Алина Алла Анастасия Анна Валентина Валерия Вера Виктория Галина Дарья Евгения Екатерина
+        Елена Елизавета Зинаида Инна Ирина Ксения Лариса Лидия Людмила Маргарита Марина Мария Надежда Наталия
+        Наталья Нина Оксана Ольга Полина Раиса Светлана София Тамара Татьяна Юлия Яна
+        """.split()
+    ),
+    ("cyrillic", "m"): tuple(
+        """
+        Александр Алексей Анатолий Андрей Антон Артём Борис Вадим Валерий Василий Виктор Виталий Владимир
+        Владислав Вячеслав Геннадий Георгий Григорий Денис Дмитрий Евгений Егор Иван Игорь Илья Кирилл
+        Константин Леонид Максим Михаил Никита Николай Олег Павел Пётр Роман Сергей Станислав Степан Фёдор
+        Юрий Яков
+        """.split()
+    ),
+}
+#: Titles in front of a name, without their stop.
+TITLES = frozenset(
+    """
+    Mr Mrs Ms Miss Sir Dr Prof Professor Doctor Doktor Herr Herrn Frau Mme Mlle Madame Monsieur Mademoiselle Señor Señora Señorita Sr Sra Srta
+    Dra Don Doña Signor Signora Господин Госпожа Доктор Профессор
+    """.split()
+)
 #: Consonants and vowels surnames are spelled from.
 SYLLABLES = {"latin": ("bdfghklmnprstvw", "aeiou"), "cyrillic": ("бвгдзклмнпрст", "аеиоу")}
 #: Characters that stand for each other: digits, and the letters of a case and script.
@@ -69,7 +110,10 @@ ENTITIES = re.compile(
     )
 )
 _WORD = "[A-ZÀ-ÖØ-ÞЀ-Я][a-zß-öø-ÿа-џ]+"
-PAIR = re.compile(rf"(?<!\w)({_WORD}\.?)(?= ({_WORD}(?:-{_WORD})?)(?!\w))")
+#: White space within a name: at most one line break.
+_GAP = r"(?:[^\S\n]+|[^\S\n]*\n[^\S\n]*)"
+PAIR = re.compile(rf"(?<!\w)({_WORD}\.?)(?=({_GAP})({_WORD}(?:-{_WORD})?)(?!\w))")
+FURTHER = re.compile(rf"[^\S\n]+({_WORD}(?:-{_WORD})?)(?!\w)")
 GENDER = {n: key for key, names in FIRST_NAMES.items() for n in names}
 
 
@@ -211,34 +255,55 @@ def surname(name: str, attempt: int = 0, syllables: int = 5, key: bytes = KEY) -
 
 
 def names_in(text: str) -> tuple[list[tuple[int, int]], set[str]]:
-    """Where first names stand in front of a surname, and the surnames found behind a first name or
-    title."""
+    """Where first names stand in front of a surname or behind a title, and the surnames found behind a
+    first name or title.
+
+    A first name of unknown gender behind a title counts as a surname, as does the word behind it. Words that
+    the text also has in lower case are no surnames behind a line break or such a first name.
+    """
     places, last = [], set()
+    lower: set[str] = set()
+
+    def common(word: str) -> bool:
+        if not lower:
+            lower.update(re.findall(r"\w+", text))
+        return word.lower() in lower
+
     for m in PAIR.finditer(text):
-        if m[1] in GENDER:
+        known, title = m[1] in GENDER, m[1].rstrip(".") in TITLES
+        if not (known or title) or m[3] in TITLES or ("\n" in m[2] and common(m[3])):
+            continue
+        if known:
             places.append(m.span(1))
-            last.add(m[2])
-        elif m[1] in TITLES and m[2] not in GENDER:
-            last.add(m[2])
+            last.add(m[3])
+        elif m[3] in GENDER:
+            places.append(m.span(3))
+        else:
+            last.add(m[3])
+            further = FURTHER.match(text, m.end(3))
+            if further and further[1] not in TITLES and not common(further[1]):
+                last.add(further[1])
     return places, last
 
 
 def replace(text: str, tries: dict[str, int], syllables: int, key: bytes = KEY) -> tuple[str, list[str]]:
     """The text with surrogates, and the types of what was replaced, in order.
 
-    A surname found with a first name or title is replaced wherever it stands as a word in the text.
+    A surname found with a first name or title, and a first name found with a surname or title, is replaced
+    wherever it stands as a word in the text. A word found as both is a first name where it was found as one.
     """
     kinds: list[str] = []
 
     first, last = names_in(text)
-    if last:
-        listed = re.compile(rf"(?<!\w)(?:{'|'.join(map(re.escape, sorted(last, key=lambda n: (-len(n), n))))})(?!\w)")
-        found = [(m.start(), m.end(), surname(m[0], tries.get(m[0], 0), syllables, key)) for m in listed.finditer(text)]
-        found += [(a, b, first_name(text[a:b], key)) for a, b in first]
+    given, spans = {text[a:b] for a, b in first}, set(first)
+    if last or given:
+        listed = re.compile(rf"(?<!\w)(?:{'|'.join(map(re.escape, sorted(last | given, key=lambda n: (-len(n), n))))})(?!\w)")
+        found = [(m.start(), m.end(), m[0]) for m in listed.finditer(text)]
         out, at = [], 0
-        for start, end, new in sorted(found):
+        for start, end, name in sorted({*found, *((a, b, text[a:b]) for a, b in first)}):
             if start >= at:
-                out += [text[at:start], new]
+                is_first = name in given and (name not in last or (start, end) in spans)
+                out += [text[at:start], first_name(name, key) if is_first else surname(name, tries.get(name, 0), syllables, key)]
                 at = end
                 kinds.append("name")
         text = "".join([*out, text[at:]])

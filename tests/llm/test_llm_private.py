@@ -24,3 +24,27 @@ def test_cards_behind_numbers_and_numbers_that_are_none():
             assert pii.replace(f"{front} {card} x", {}, 5)[0] == f"{front} {pii.surrogate('card', card)} x"
     for text in ("from 2024-01-15 2024-01-16 on", "4111111111112", "3 4 5"):
         assert pii.replace(text, {}, 5) == (text, [])
+
+
+def _last(name):
+    return pii.surname(name, 0, 5)
+
+
+def test_later_mentions_of_first_names():
+    a = pii.first_name("Anna")
+    new, kinds = pii.replace("Anna Mueller came. Anna spoke, and Annabel left. Dr. Anna too.", {}, 5)
+    assert new == f"{a} {_last('Mueller')} came. {a} spoke, and Annabel left. Dr. {a} too." and kinds == ["name"] * 4
+    new, _ = pii.replace("Paul Martin met Martin Weber. Martin smiled.", {}, 5)
+    assert new == f"{pii.first_name('Paul')} {_last('Martin')} met {pii.first_name('Martin')} {_last('Weber')}. {_last('Martin')} smiled."
+
+
+def test_white_space_and_titles():
+    for gap in ("  ", "\n", " \n  ", "\t"):
+        assert pii.replace(f"Anna{gap}Mueller", {}, 5)[0] == f"{pii.first_name('Anna')}{gap}{_last('Mueller')}"
+    for title in ("Dr.", "Prof.", "Herr Dr.", "Prof. Dr.", "Miss", "Mr", "Mrs."):
+        assert pii.replace(f"{title} Weber spoke.", {}, 5)[0] == f"{title} {_last('Weber')} spoke."
+        new = pii.replace(f"{title} Ottilie Weber spoke. Ottilie left.", {}, 5)[0]
+        assert new == f"{title} {_last('Ottilie')} {_last('Weber')} spoke. {_last('Ottilie')} left."
+    assert re.match(r"I saw \w+\nThe next day the \w+ came", pii.replace("I saw Anna\nThe next day the Man came", {}, 5)[0])
+    for name in ("Wolfgang", "Jürgen", "Владимир", "Jennifer"):
+        assert pii.replace(f"{name} Abc", {}, 5)[0] == f"{pii.first_name(name)} {_last('Abc')}"
