@@ -62,7 +62,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class Model:
-    """Per-language log frequencies of words and n-grams; at most `max_entries` of each length."""
+    """Per-language log frequencies of words and n-grams."""
 
     def __init__(self, languages: list[str], entries: list[tuple[str, int, str, int]]):
         self.languages = sorted(languages)
@@ -93,10 +93,10 @@ class Model:
         return self.flat
 
 
-def fit(labelled: DataFrame, max_documents: int = 20_000, max_entries: int = 50_000) -> Model:
+def fit(labelled: DataFrame, max_documents: int = 20_000) -> Model:
     """Learns from rows with text and lang. Of more than `max_documents` rows a share by hash of the
-    text is used that leaves about as many; of the words and n-grams of each length the
-    `max_entries` most frequent ones stay. Both bounds hold whatever the input's size."""
+    text is used that leaves about as many, whatever the input's size; all words and n-grams of these
+    rows stay, for every language."""
     rows = labelled.where("text is not null and lang is not null").select("lang", "text")
     count = rows.count()
     if count > max_documents:
@@ -106,8 +106,7 @@ def fit(labelled: DataFrame, max_documents: int = 20_000, max_entries: int = 50_
     total = stored(counted.groupBy("lang", "n", "gram").agg(F.sum("seen").alias("seen")))
     entries: list[tuple[str, int, str, int]] = []
     for n in range(LONGEST + 1):
-        top = total.where(F.col("n") == n).orderBy(F.desc("seen"), "gram", "lang").limit(max_entries)
-        table = top.toArrow()
+        table = total.where(F.col("n") == n).toArrow()
         entries += zip(*(table.column(c).to_pylist() for c in ("lang", "n", "gram", "seen")), strict=True)
     return Model(sorted({e[0] for e in entries}), entries)
 
