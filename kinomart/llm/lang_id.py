@@ -29,9 +29,9 @@ PENALTY = 2.0
 
 
 def grams(word: str, n: int) -> list[str]:
-    """The character n-grams of a word with its borders."""
+    """The character n-grams of a word with its borders; none of a border alone."""
     marked = f" {word} "
-    return [marked[i : i + n] for i in range(len(marked) - n + 1)]
+    return [marked[i : i + n] for i in range(n == 1, len(marked) - n + 1 - (n == 1))]
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -79,6 +79,10 @@ class Model:
                 rows.append(least[n].copy())
             rows[at][place[lang]] = math.log(seen / totals[n, place[lang]])
         self.rows = np.array(rows) if rows else np.zeros((1, len(place)))
+        # Which language showed each of them.
+        self.shown = np.zeros(self.rows.shape, np.float32)
+        for lang, n, gram, _ in entries:
+            self.shown[self.tables[n][gram], place[lang]] = 1
         self.flat = np.zeros(len(place))
 
     def score(self, word: str) -> np.ndarray:
@@ -92,6 +96,16 @@ class Model:
                 return self.rows[found].mean(axis=0)
         return self.flat
 
+    def known(self, word: str) -> np.ndarray:
+        """How far each language knows a word: 1 if it showed it, else half the share of its longest
+        n-grams that it showed."""
+        n = min(LONGEST, len(word) + 2)
+        parts = grams(word, n)
+        found = [self.tables[n][g] for g in parts if g in self.tables[n]]
+        share = self.shown[found].sum(axis=0) / (2 * len(parts)) if found else self.flat
+        at = self.tables[0].get(word)
+        return share if at is None else np.maximum(share, self.shown[at])
+
 
 def fit(labelled: DataFrame, max_documents: int = 20_000) -> Model:
     """Learns from rows with text and lang. Of more than `max_documents` rows a share by hash of the
@@ -111,21 +125,23 @@ def fit(labelled: DataFrame, max_documents: int = 20_000) -> Model:
     return Model(sorted({e[0] for e in entries}), entries)
 
 
-def _predict(model: Model, text_column: str):
+def _predict(model: Model, text_column: str, with_known: bool = False):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         size = len(model.languages)
         seen: dict[str, int] = {}
         rows = np.zeros((REMEMBERED, max(size, 1)))
+        known = np.zeros((REMEMBERED if with_known else 0, max(size, 1)), np.float32)
         for batch in batches:
-            names, scores = [], []
+            names, scores, shares = [], [], []
             for text in batch.column(text_column).to_pylist():
                 counts = Counter(LETTERS.findall((text or "").lower()))
                 has_letter = any(map(str.isalpha, counts)) or any(c.isalpha() for w in counts for c in w)
                 if not (has_letter and size):
                     names.append(UNKNOWN)
                     scores.append(0.0)
+                    shares.append(0.0)
                     continue
-                evidence = np.zeros(size)
+                evidence, share = np.zeros(size), np.zeros(size)
                 words = list(counts)
                 for at in range(0, len(words), REMEMBERED):
                     part = words[at : at + REMEMBERED]
@@ -134,22 +150,30 @@ def _predict(model: Model, text_column: str):
                         seen, fresh = {}, part
                     for w in fresh:
                         rows[len(seen)] = model.score(w)
+                        if with_known:
+                            known[len(seen)] = model.known(w)
                         seen[w] = len(seen)
-                    evidence += np.array([counts[w] for w in part], float) @ rows[[seen[w] for w in part]]
+                    times, at_rows = np.array([counts[w] for w in part], float), [seen[w] for w in part]
+                    evidence += times @ rows[at_rows]
+                    if with_known:
+                        share += times @ known[at_rows]
                 best = int(evidence.argmax())
                 names.append(model.languages[best])
                 scores.append(float(1 / np.exp(evidence - evidence[best]).sum()))
+                shares.append(float(share[best] / sum(counts.values())))
+            more = {"known": pa.array(shares, pa.float64())} if with_known else {}
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(names, pa.string()), pa.array(scores, pa.float64())],
-                names=[*batch.schema.names, "lang_pred", "score"],
+                [*batch.columns, pa.array(names, pa.string()), pa.array(scores, pa.float64()), *more.values()],
+                names=[*batch.schema.names, "lang_pred", "score", *more],
             )
 
     return run
 
 
-def identify(docs: DataFrame, model: Model, carried: Sequence[str] = ("doc_id",), results: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+def identify(docs: DataFrame, model: Model, carried: Sequence[str] = ("doc_id",), results: tuple[str, ...] = ("lang_pred", "score")) -> DataFrame:
     """The columns named in `carried`, and the prediction and score of every row's whole text, named
-    by `results`.
+    by `results`; a third name there stands for how far the predicted language knows the text's words,
+    from 0 to 1.
 
     Nothing but the text enters a prediction. Null texts and texts without a letter, and all texts
     if nothing was learned, are `und` with score 0. Equal evidence goes to the first language by
@@ -161,10 +185,14 @@ def identify(docs: DataFrame, model: Model, carried: Sequence[str] = ("doc_id",)
     rows = docs.select(*[F.col(c).alias(f"c_{i}") for i, c in enumerate(names)])
     given = [f"c_{i} {types[c]}" for i, c in enumerate(names)]
     at = names.index("text")
-    predicted = rows.mapInArrow(_predict(model, f"c_{at}"), ", ".join([*given, "lang_pred string", "score double"]))
-    return predicted.select(*[F.col(f"c_{i}").alias(c) for i, c in enumerate(carried)], F.col("lang_pred").alias(results[0]), F.col("score").alias(results[1]))
+    new = ["lang_pred string", "score double", "known double"][: len(results)]
+    predicted = rows.mapInArrow(_predict(model, f"c_{at}", len(results) > 2), ", ".join([*given, *new]))
+    answers = [F.col(t.split()[0]).alias(c) for t, c in zip(new, results, strict=True)]
+    return predicted.select(*[F.col(f"c_{i}").alias(c) for i, c in enumerate(carried)], *answers)
 
 
-def accepted(min_score: float = 0.3, results: tuple[str, str] = ("lang_pred", "score")) -> Column:
-    """Whether a prediction names a language with at least this posterior."""
-    return (F.col(results[0]) != UNKNOWN) & (F.col(results[1]) >= min_score)
+def accepted(min_score: float = 0.3, results: tuple[str, str, str] = ("lang_pred", "score", "known"), min_known: float = 0.5) -> Column:
+    """Whether a prediction names a language with at least this posterior that knows at least this
+    share of the text's words. The posterior alone only compares the languages learned: it nears 1
+    with a text's length in any other language, too."""
+    return (F.col(results[0]) != UNKNOWN) & (F.col(results[1]) >= min_score) & (F.col(results[2]) >= min_known)
