@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from kinomart.llm.byte_texts import Texts, mix
 from kinomart.llm.common import SPACE, stored
@@ -186,34 +187,22 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, size: int =
     spans = homes.groupBy("id").agg(F.min("first").alias("a"), F.max("first").alias("b")).where("a != b")
     links = stored(spans.select("a", "b"))
     keyed = _band_rows(texts, bands).withColumn("label", F.col("id"))
-    for level in (1, 2, 3):
-        large = None
-        if level < 3:
-            pairs, large = _candidates(keyed, level, similarity)
-        else:
-            pairs = _rest(still, similarity)
-        links = stored(links.union(_verified(rows_in, texts, pairs, similarity, size)))
-        if large is None or large.isEmpty():
-            break
+    pairs, large = _candidates(keyed, similarity)
+    links = stored(links.union(_verified(rows_in, texts, pairs, similarity, size)))
+    if not large.isEmpty():
         # Large buckets whose documents are not all connected.
         labels = stored(components(links))
         named = large.drop("label").join(labels, F.col("id") == F.col("node"), "left")
-        named = stored(named.select("id", "n", "key", "band", F.coalesce("root", "id").alias("label")))
+        named = stored(named.select("id", "n", "key", F.coalesce("root", "id").alias("label")))
         home = named.groupBy("key").agg(
             F.mode("label", True).alias("home"), F.min("label").alias("low"), F.max("label").alias("high")
         )
-        still = stored(named.join(stored(home.where("low != high").select("key", "home")), "key"))
-        if still.isEmpty():
-            break
-        if level == 1:
-            # Dealt anew by a further band, as far as documents outside of the bucket's main
-            # component are in the new bucket.
-            more = _band_rows(texts, bands).select("id", F.col("band").alias("other"), F.col("key").alias("further"))
-            dealt = still.join(more, "id").where("other > band").select(
-                "id", "n", F.col("other").alias("band"), F.xxhash64("key", "further").alias("key"), "label", "home"
-            )
-            needed = dealt.where("label != home").select("key").distinct()
-            keyed = dealt.drop("home").join(needed, "key", "left_semi")
+        still = named.join(stored(home.where("low != high").select("key", "home")), "key")
+        # A document outside of a bucket's main component is a stray.
+        still = stored(still.groupBy("id", "n", "label").agg(F.max(F.col("label") != F.col("home")).alias("stray")))
+        if not still.isEmpty():
+            pairs = _rest(rows_in, texts, still, similarity, size)
+            links = stored(links.union(_verified(rows_in, texts, pairs, similarity, size)))
     labels = stored(components(links))
     classes = homes.join(labels, F.col("first") == F.col("node"), "left").select("id", F.coalesce("root", "first").alias("class"))
     classes = stored(classes)
@@ -223,7 +212,7 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, size: int =
     )
 
 
-def _candidates(keyed: DataFrame, level: int, similarity: float) -> tuple[DataFrame, DataFrame]:
+def _candidates(keyed: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame]:
     """Pairs (a, b) of different components to compare, and the rows of large buckets.
 
     Small buckets give all pairs whose sizes allow the similarity, in large ones each document meets
@@ -233,7 +222,7 @@ def _candidates(keyed: DataFrame, level: int, similarity: float) -> tuple[DataFr
         keyed.groupBy("key")
         .agg(
             F.count("*").alias("members"),
-            F.min(F.struct(F.xxhash64("id", F.lit(level)).alias("h"), "id", "n", "label")).alias("pivot"),
+            F.min(F.struct(F.xxhash64("id", F.lit(1)).alias("h"), "id", "n", "label")).alias("pivot"),
         )
         .where("members > 1")
     )
@@ -252,7 +241,7 @@ def _candidates(keyed: DataFrame, level: int, similarity: float) -> tuple[DataFr
         F.col("pivot.label").alias("lb"),
     )
     star = star.where(_possible(similarity)).select("a", "b")
-    return pairs.union(star).distinct(), large.select("id", "n", "key", "band", "label")
+    return pairs.union(star).distinct(), large.select("id", "n", "key", "label")
 
 
 def _possible(similarity: float) -> Column:
@@ -260,15 +249,37 @@ def _possible(similarity: float) -> Column:
     return (F.col("la") != F.col("lb")) & (F.least("na", "nb") >= similarity * F.greatest("na", "nb"))
 
 
-def _rest(still: DataFrame, similarity: float) -> DataFrame:
-    """All pairs of the buckets left whose documents are in different components: those outside of
-    the bucket's main component against all."""
-    left = still.where("label != home").select("key", F.col("id").alias("a"), F.col("n").alias("na"), F.col("label").alias("la"))
-    right = still.select("key", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("label").alias("lb"))
-    met = left.join(right, "key").where(_possible(similarity))
+def _rest(rows: DataFrame, texts: DataFrame, still: DataFrame, similarity: float, size: int) -> DataFrame:
+    """Pairs of a stray and a document of another component that can be similar enough; all such pairs
+    that are.
+
+    Shingles have one order, the rarest first. Of two similar sets of n shingles the first common one is
+    among each one's first n - similarity * n + 1, and what is left from there holds all they share.
+    """
+    sets = _shingle_sets(rows, texts, still.select("id"), size)
+    each = stored(sets.join(still, "id").select("id", "n", "label", "stray", F.explode("shingles").alias("shingle")))
+    seen = each.groupBy("shingle").agg(
+        F.count("*").alias("seen"), (F.max("stray") & (F.min("label") != F.max("label"))).alias("meets")
+    )
+    # Stored, so that the join stands by itself and a shingle that fills the table is split.
+    counted = stored(each.join(stored(seen), "shingle"))
+    place = F.row_number().over(Window.partitionBy("id").orderBy("seen", "shingle"))
+    first = counted.withColumn("rest", F.col("n") - place + 1)
+    first = stored(first.where(F.col("meets") & (F.col("rest") >= F.ceil(similarity * F.col("n") - 1e-9))))
+    left = first.where("stray").select("shingle", *[F.col(c).alias(k) for c, k in (("id", "a"), ("n", "na"), ("label", "la"), ("rest", "ta"))])
+    right = first.select("shingle", *[F.col(c).alias(k) for c, k in (("id", "b"), ("n", "nb"), ("label", "lb"), ("rest", "tb"))])
+    shared = F.least("ta", "tb") >= similarity / (1 + similarity) * (F.col("na") + F.col("nb")) - 1e-6
+    met = left.join(right, "shingle").where(_possible(similarity) & shared)
     return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
+def _shingle_sets(rows: DataFrame, texts: DataFrame, ids: DataFrame, size: int) -> DataFrame:
+    """id, shingles of the texts with these ids."""
+    wanted = texts.select("id", "content").join(ids.distinct(), "id", "left_semi")
+    own = rows.join(wanted, ["id", "content"], "left_semi").dropDuplicates(["id", "content"])
+    return stored(own.mapInArrow(_sets(size), "id bigint, shingles array<bigint>"))
+
+
 def _verified(rows: DataFrame, texts: DataFrame, pairs: DataFrame, similarity: float, size: int) -> DataFrame:
     """The pairs whose shingle sets are similar enough."""
     left = texts.select(F.col("id").alias("a"), F.col("registers").alias("ra"))
@@ -276,10 +287,7 @@ def _verified(rows: DataFrame, texts: DataFrame, pairs: DataFrame, similarity: f
     near = stored(pairs.join(left, "a").join(right, "b").mapInArrow(_agree, "a bigint, b bigint").distinct())
     if near.isEmpty():
         return near
-    wanted = near.select(F.col("a").alias("id")).union(near.select("b")).distinct()
-    wanted = texts.select("id", "content").join(wanted, "id", "left_semi")
-    own = rows.join(wanted, ["id", "content"], "left_semi").dropDuplicates(["id", "content"])
-    sets = stored(own.mapInArrow(_sets(size), "id bigint, shingles array<bigint>"))
+    sets = _shingle_sets(rows, texts, near.select(F.col("a").alias("id")).union(near.select("b")), size)
     one = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
     two = sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
     both = F.size(F.array_intersect("sa", "sb"))
