@@ -126,6 +126,30 @@ SELECT d.doc_id, CASE WHEN d.text IS NOT NULL THEN coalesce(body.text, '') END A
 FROM d LEFT JOIN body USING (r)"""
 
 
+HARD_NEGATIVES = r"""
+WITH v AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+    SELECT a.vec_id AS anchor_id, a.label = b.label AS same, b.vec_id AS other_id,
+           CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score
+    FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+p AS (
+    SELECT * FROM s WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5),
+n AS (
+    SELECT p.anchor_id, p.other_id AS positive_id, p.score AS positive_score, s.other_id AS negative_id,
+           s.score AS negative_score,
+           row_number() OVER (PARTITION BY p.anchor_id, p.other_id ORDER BY s.score DESC, s.other_id) AS rank
+    FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same
+    WHERE 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM n WHERE rank <= 3"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_mixing": MIXING,
@@ -133,4 +157,5 @@ def oracle_sql() -> dict[str, str]:
         "op5_quality_rules": QUALITY_RULES,
         "op6_line_dedup": LINE_DEDUP,
         "op7_url_filter": URL_FILTER,
+        "op13_hard_negatives": HARD_NEGATIVES,
     }

@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinomart.llm import exact_dedup, lang_id, line_dedup, lm_score, mixing, near_dup, pii, quality_rules, sentencepiece, url_filter
+from kinomart.llm import (
+    exact_dedup,
+    hard_negatives,
+    lang_id,
+    line_dedup,
+    lm_score,
+    mixing,
+    near_dup,
+    pii,
+    quality_rules,
+    sentencepiece,
+    simhash,
+    url_filter,
+    whitening,
+)
 from kinomart.llm.common import bucket, read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -80,6 +94,22 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pseudonymize(read(spark, sf_dir, "documents"))
 
 
+def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all texts and their edited texts; for ids divisible by 50 also how many other
+    documents are near."""
+    return simhash.report(read(spark, sf_dir, "documents"), F.col("doc_id") % 50 == 0)
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened_components(read(spark, sf_dir, "embeddings"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every seventh id has its label moved on by one; anchors are the ids divisible by 50."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, label=label)
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_mixing": op1_mixing,
@@ -92,4 +122,7 @@ def queries() -> dict[str, Query]:
         "op8_sentencepiece": op8_sentencepiece,
         "op9_near_dup": op9_near_dup,
         "op10_pii": op10_pii,
+        "op11_fingerprints": op11_fingerprints,
+        "op12_whitening": op12_whitening,
+        "op13_hard_negatives": op13_hard_negatives,
     }

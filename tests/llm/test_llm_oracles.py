@@ -19,4 +19,4 @@ def test_query(spark, con, name):
 
 def test_one_query_per_operator():
     numbers = [int(name[2:].split("_")[0]) for name in queries.queries()]
-    assert sorted(numbers) == list(range(1, 11))
+    assert sorted(numbers) == list(range(1, 14))
