@@ -11,12 +11,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import oracles
+from kinomart.functions import balances
 from kinomart.functions import rental as fn
 from kinomart.functions.columns import last_day, ntz
+from kinomart.operators import check_state, digest_tree, history
 from kinomart.operators import quality as q
 from kinomart.operators.refresh import refresh_diff, upsert_stamped
 from kinomart.operators.text_index import token_index
 from kinomart.plans import checks, pipeline
+from kinomart.plans.deltas import MaintainedMarts
 from kinomart.plans.models import MARTS, RELATIONS, STAGING, Models
 from kinomart.session import materialize, work_folder
 from kinomart.sources import tables
@@ -182,6 +185,120 @@ def upsert_rentals(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+#: Rows of a leaf of stored refreshes, so that the given tables have several.
+LEAF_ROWS = 5_000
+EARLIER = date(1998, 1, 1)
+
+
+def refresh_tree_diff(spark: SparkSession, folder: str) -> DataFrame:
+    """What `refresh_diff` says, from the digest trees of two stored refreshes."""
+    rental, place = _models(spark, folder)["rental"], work_folder(spark)
+    old = digest_tree.store_refresh(_rentals_as_of(rental, EARLIER), ["rental_id"], f"{place}/old", leaf_rows=LEAF_ROWS)
+    new = digest_tree.store_refresh(rental, ["rental_id"], f"{place}/new", old)
+    return digest_tree.tree_diff(old, new)
+
+
+def changed_payments(spark: SparkSession, folder: str) -> DataFrame:
+    """The payments of two stored refreshes that differ: the later ones have other amounts for some
+    orders, lack the payments of others, and have new ones."""
+    payment, place = _models(spark, folder)["payment"], work_folder(spark)
+    order = F.col("rental_id") % 1000
+    before = payment.where(order != 3).select(
+        *[F.when(order == 1, F.col(c) + 1).otherwise(F.col(c)).cast("decimal(6,2)").alias(c) if c == "amount" else c for c in payment.columns]
+    )
+    after = payment.where(order != 2).withColumn("amount", F.col("amount").cast("decimal(6,2)"))
+    old = digest_tree.store_refresh(before, ["payment_id"], f"{place}/old", leaf_rows=LEAF_ROWS)
+    new = digest_tree.store_refresh(after, ["payment_id"], f"{place}/new", old)
+    return digest_tree.changed_rows(old, new).select(
+        "payment_id", F.col("old.amount").alias("old_amount"), F.col("new.amount").alias("new_amount")
+    )
+
+
+#: Moments of refreshes in the order in which they arrive: one is late, and comes twice.
+REFRESHES = tuple(datetime(y, 1, 1) for y in (1995, 1997, 1998, 1996, 1996))
+
+
+def _rental_history(spark: SparkSession, folder: str) -> DataFrame:
+    rental, place = _models(spark, folder)["rental"], work_folder(spark)
+    known = history.start(_rentals_as_of(rental, REFRESHES[0]), ["rental_id"], REFRESHES[0])
+    for i, moment in enumerate(REFRESHES[1:], 1):
+        # Stored after each refresh, as it would be: the next one starts from the table.
+        known = materialize(known, f"{place}/{i}")
+        known = history.apply_refresh(known, _rentals_as_of(rental, moment), ["rental_id"], moment, REFRESHES[:i])
+    return known
+
+
+def row_history(spark: SparkSession, folder: str) -> DataFrame:
+    """From when to when each rental looked how, by refreshes that arrive in any order."""
+    return _rental_history(spark, folder).select("rental_id", "return_date", "valid_from", "valid_to")
+
+
+def row_history_as_of(spark: SparkSession, folder: str) -> DataFrame:
+    """The rentals as they were at the moment of the late refresh."""
+    return history.as_of(_rental_history(spark, folder), datetime(1996, 1, 1))
+
+
+#: The ends of 1994's to 1998's half years.
+BALANCE_DAYS = tuple(datetime(y, m, 1) for y in range(1994, 1999) for m in (1, 7))
+
+
+def customer_balances(spark: SparkSession, folder: str) -> DataFrame:
+    m = _models(spark, folder)
+    return balances.customer_balances(m["customer"], m["rental"], m["inventory"], m["film"], m["payment"], BALANCE_DAYS)
+
+
+def _earlier_tables(spark: SparkSession, folder: str) -> Callable[[str], DataFrame]:
+    """The base tables of an earlier refresh: later rentals, returns and payments are missing, some items,
+    too, and some films and customers differ."""
+    load = TpchSources(spark, folder)
+
+    def earlier(name: str) -> DataFrame:
+        df = load(name)
+        if name == "rental":
+            return _rentals_as_of(df, EARLIER)
+        if name == "payment":
+            return df.where(F.col("payment_date") < ntz(EARLIER))
+        if name == "inventory":
+            return df.where(F.col("film_id") % 50 != 1)
+        if name == "film":
+            rate = F.when(F.col("film_id") % 50 == 2, F.col("rental_rate") + 1).otherwise(F.col("rental_rate"))
+            return df.withColumn("rental_rate", rate.cast("decimal(4,2)"))
+        if name == "customer":
+            return df.withColumn("email", F.when(F.col("customer_id") % 50 != 3, F.col("email"))).where("customer_id % 50 != 4")
+        return df
+
+    return earlier
+
+
+def _maintained(spark: SparkSession, folder: str) -> MaintainedMarts:
+    kept = MaintainedMarts(spark, work_folder(spark), LEAF_ROWS)
+    kept.build(_earlier_tables(spark, folder))
+    kept.refresh(TpchSources(spark, folder))
+    return kept
+
+
+def maintained_fact(spark: SparkSession, folder: str) -> DataFrame:
+    """The fact of an earlier refresh after the changes since."""
+    return _maintained(spark, folder)["fct_rental"]
+
+
+def maintained_analytics(spark: SparkSession, folder: str) -> DataFrame:
+    """The wide table of an earlier refresh after the changes since."""
+    return _maintained(spark, folder)["rental_analytics"]
+
+
+def dq_merged(spark: SparkSession, folder: str) -> DataFrame:
+    """The fact's declared checks: states of an earlier refresh, those of changed leaves made anew."""
+    place = work_folder(spark)
+    earlier, now = Models(_earlier_tables(spark, folder)), _models(spark, folder)
+    old = digest_tree.store_refresh(earlier["fct_rental"], ["rental_id"], f"{place}/old", leaf_rows=LEAF_ROWS)
+    new = digest_tree.store_refresh(now["fct_rental"], ["rental_id"], f"{place}/new", old)
+    declared = checks.of_relation(now, "fct_rental")
+    check_state.update_states(old, declared, None, f"{place}/states-old")
+    check_state.update_states(new, declared, f"{place}/states-old", f"{place}/states-new")
+    return check_state.report(new, declared, f"{place}/states-new")
+
+
 def full_refresh(spark: SparkSession, folder: str) -> DataFrame:
     """The stored rental table of an earlier refresh, overwritten by the current one; of the tables
     found at the source, one without any key is left out."""
@@ -278,6 +395,14 @@ def queries() -> dict[str, Query]:
         "refresh_diff": refresh_rentals,
         "upsert_stamped": upsert_rentals,
         "title_token_index": title_token_index,
+        "refresh_tree_diff": refresh_tree_diff,
+        "changed_payments": changed_payments,
+        "row_history": row_history,
+        "row_history_as_of": row_history_as_of,
+        "customer_balances": customer_balances,
+        "maintained_fact": maintained_fact,
+        "maintained_analytics": maintained_analytics,
+        "dq_merged": dq_merged,
         "full_refresh": full_refresh,
         "staged_views": staged_views,
         "stored_keys": stored_keys,

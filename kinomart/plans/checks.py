@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kinomart.operators import quality as q
+from kinomart.operators.check_state import Checks
 from kinomart.plans.models import Models
 from kinomart.sources.schemas import (
     FOREIGN_KEYS, PRIMARY_KEYS, RATINGS, RELEASE_YEARS, UNIQUE_INDEXES, ForeignKey,
@@ -196,6 +197,13 @@ def summary(models: Models) -> DataFrame:
     return _report(parts)
 
 
+def of_relation(models: Models, relation: str) -> Checks:
+    """The declared checks of one relation, for states that are kept and merged."""
+    references = {r.column: (models[r.parent], r.parent_column) for r in REFERENCES if r.child == relation}
+    unique = [(UNIQUE[relation],)] if relation in UNIQUE else []
+    return Checks(_row_conditions(relation), ACCEPTED.get(relation, {}), references, unique)
+
+
 def primary_keys(models: Models) -> DataFrame:
     return _report(
         _count(q.key_failures(models[r], *key), r, f"primary_key_{'_'.join(key)}")

@@ -82,6 +82,11 @@ def folder_bytes(spark: SparkSession, path: str) -> int:
     return files.getContentSummary(place).getLength()
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    files, place = _path(spark, path)
+    files.delete(place, True)
+
+
 def _replace(spark: SparkSession, fresh: str, path: str) -> None:
     """Put a complete folder in another one's place."""
     files, place = _path(spark, path)

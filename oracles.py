@@ -640,6 +640,38 @@ OTHERS = {
                CASE WHEN o.rental_id IS NULL OR o.return_date IS NOT DISTINCT FROM n.return_date
                     THEN n.last_update ELSE TIMESTAMP '1999-01-01' END AS last_update
         FROM t_rental n LEFT JOIN {EARLIER} o ON n.rental_id = o.rental_id""",
+    "changed_payments": """
+        SELECT payment_id, CASE WHEN o <> 3 THEN amount + CASE WHEN o = 1 THEN 1 ELSE 0 END END::DECIMAL(6,2) AS old_amount,
+               CASE WHEN o <> 2 THEN amount END::DECIMAL(6,2) AS new_amount
+        FROM (SELECT *, rental_id % 1000 AS o FROM t_payment) WHERE o IN (1, 2, 3)""",
+    "row_history": """
+        SELECT rental_id, known AS return_date, min(seen) AS valid_from, nullif(max(till), TIMESTAMP '1999-01-01') AS valid_to
+        FROM (SELECT rental_id, CASE WHEN return_date < seen THEN return_date END AS known, seen, seen + INTERVAL 1 YEAR AS till
+              FROM t_rental, (VALUES (TIMESTAMP '1995-01-01'), (TIMESTAMP '1996-01-01'),
+                                     (TIMESTAMP '1997-01-01'), (TIMESTAMP '1998-01-01')) AS m(seen)
+              WHERE rental_date < seen) GROUP BY rental_id, known""",
+    "row_history_as_of": """
+        SELECT rental_id, rental_date, inventory_id, customer_id,
+               CASE WHEN return_date < TIMESTAMP '1996-01-01' THEN return_date END AS return_date, staff_id, last_update
+        FROM t_rental WHERE rental_date < TIMESTAMP '1996-01-01'""",
+    "customer_balances": """
+        SELECT c.customer_id, as_of, coalesce(fees, 0)::DECIMAL(20,2) AS rental_fees, coalesce(late, 0)::DECIMAL(20,2) AS late_fees,
+               coalesce(paid, 0)::DECIMAL(20,2) AS payments,
+               (coalesce(fees, 0) + coalesce(late, 0) - coalesce(paid, 0))::DECIMAL(20,2) AS balance
+        FROM t_customer c CROSS JOIN (SELECT make_timestamp(y, m, 1, 0, 0, 0) AS as_of FROM range(1994, 1999) a(y), (VALUES (1), (7)) b(m)) d
+        LEFT JOIN (SELECT r.customer_id, day, sum(f.rental_rate) AS fees,
+                          sum(greatest(coalesce(date_sub('day', rental_date, return_date) - rental_duration, 0), 0)) AS late
+                   FROM t_rental r JOIN t_inventory i ON i.inventory_id = r.inventory_id JOIN t_film f ON f.film_id = i.film_id
+                   JOIN (SELECT make_timestamp(y, m, 1, 0, 0, 0) AS day FROM range(1994, 1999) a(y), (VALUES (1), (7)) b(m)) ON rental_date <= day
+                   GROUP BY r.customer_id, day) e ON e.customer_id = c.customer_id AND e.day = as_of
+        LEFT JOIN (SELECT customer_id, day, sum(amount) AS paid FROM t_payment
+                   JOIN (SELECT make_timestamp(y, m, 1, 0, 0, 0) AS day FROM range(1994, 1999) a(y), (VALUES (1), (7)) b(m)) ON payment_date <= day
+                   GROUP BY customer_id, day) p ON p.customer_id = c.customer_id AND p.day = as_of""",
+    "maintained_fact": "SELECT * FROM fct_rental",
+    "maintained_analytics": "SELECT * FROM rental_analytics",
+    "dq_merged": f"""
+        SELECT "check", failures FROM ({_union(_summary())})
+        WHERE relation = 'fct_rental' AND "check" <> 'orphan_rentals'""",
     "staged_views": _union(
         [
             f"SELECT '{r}' AS relation, count(*) AS n_rows, count(DISTINCT {k}) AS n_keys FROM {r}"
@@ -675,4 +707,5 @@ def oracle_sql() -> dict[str, str]:
     ctes = BASE | RELATIONS
     with_clause = "WITH " + ",\n".join(f"{name} AS ({sql})" for name, sql in ctes.items())
     finals = {name: f"SELECT * FROM {name}" for name in RELATIONS} | OTHERS
+    finals["refresh_tree_diff"] = OTHERS["refresh_diff"]
     return {name: f"{with_clause}\n{sql}" for name, sql in finals.items()}
