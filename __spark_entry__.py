@@ -7,7 +7,7 @@ from collections.abc import Callable
 from datetime import date, datetime
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 import oracles
@@ -16,13 +16,15 @@ from kinomart.functions import rental as fn
 from kinomart.functions.columns import last_day, ntz
 from kinomart.operators import check_state, digest_tree, history
 from kinomart.operators import quality as q
+from kinomart.operators.aggregates import assemble, list_pieces
 from kinomart.operators.refresh import refresh_diff, upsert_stamped
-from kinomart.operators.text_index import token_index
+from kinomart.operators.text_index import phrase_search, token_index
 from kinomart.plans import checks, pipeline
 from kinomart.plans.deltas import MaintainedMarts
 from kinomart.plans.models import MARTS, RELATIONS, STAGING, Models
 from kinomart.session import materialize, work_folder
 from kinomart.sources import tables
+from kinomart.sources.schemas import SCHEMAS
 from kinomart.sources.text import NULL_MARK, read_dump
 from kinomart.sources.tpch import TpchSources
 
@@ -158,7 +160,98 @@ def _plain_audit(audit: Callable[[Models], DataFrame]) -> Query:
 
 def dq_summary(spark: SparkSession, folder: str) -> DataFrame:
     """The full build, and its report of the declared checks."""
-    return checks.summary(pipeline.build(spark, TpchSources(spark, folder), work_folder(spark))[0])
+    return pipeline.build(spark, TpchSources(spark, folder), work_folder(spark), report=checks.summary)[1]
+
+
+def dq_unique_wide(spark: SparkSession, folder: str) -> DataFrame:
+    """Customers' payments of one day and amount, by fingerprints first."""
+    return q.not_unique_wide(_models(spark, folder)["payment"], "rental_id", "customer_id", "payment_date", "amount")
+
+
+def dq_orphans_found(spark: SparkSession, folder: str) -> DataFrame:
+    """The check for orphans against customers of which some are gone."""
+    m = _models(spark, folder)
+    return q.orphan_rentals(m["fct_rental"], m["dim_customer"].where(F.col("customer_id") % 50 != 7))
+
+
+def dq_negatives_found(spark: SparkSession, folder: str) -> DataFrame:
+    """The check for negative payments over a fact with refunds."""
+    refund = F.when(F.col("payment_id") % 97 == 5, -F.col("payment_amount")).otherwise(F.col("payment_amount"))
+    return q.negative_payments(_models(spark, folder)["fct_rental"].withColumn("payment_amount", refund.cast("decimal(12,2)")))
+
+
+def dq_mismatches_found(spark: SparkSession, folder: str) -> DataFrame:
+    """The check of the total over a wide table in which some totals are off, others by a cent only."""
+    off = F.when(F.col("rental_id") % 97 == 3, F.lit("0.02")).when(F.col("rental_id") % 97 == 4, F.lit("0.01")).otherwise(F.lit("0"))
+    wide = rental_analytics(spark, folder)
+    return q.revenue_mismatches(wide.withColumn("total_revenue", (F.col("total_revenue") + off.cast("decimal(3,2)")).cast("decimal(12,2)")))
+
+
+def loaded_defaults(spark: SparkSession, folder: str) -> DataFrame:
+    """Stored films without some columns, and with missing ratings, loaded with the columns' defaults."""
+    place = work_folder(spark)
+    film = _models(spark, folder)["film"].drop("last_update", "rental_rate")
+    materialize(film.withColumn("rating", F.nullif("rating", F.lit("NR"))), f"{place}/film")
+    load = tables.loader(spark, "parquet", place, defaults=True, loaded_at="2020-01-01 00:00:00")
+    return load("film").select("film_id", "rental_duration", "rental_rate", "replacement_cost", "rating", "last_update")
+
+
+def defaults_now(spark: SparkSession, folder: str) -> DataFrame:
+    """Films whose time of load defaults to the moment of the query."""
+    film = tables.with_defaults(_models(spark, folder)["film"].drop("last_update"), "film")
+    age = F.localtimestamp() - F.col("last_update")
+    return film.select("film_id", (age < F.expr("INTERVAL 1 DAY")).alias("is_recent"))
+
+
+def sql_group_concat(spark: SparkSession, folder: str) -> DataFrame:
+    """The aggregate in SQL: titles, and distinct ratings, of each category."""
+    from kinomart.functions.sql import register_group_concat
+
+    m = _models(spark, folder)
+    register_group_concat(spark)
+    films = m["film"].join(m["film_category"].select("film_id", "category_id"), "film_id")
+    return spark.sql(
+        """SELECT category_id, group_concat(title, ', ') WITHIN GROUP (ORDER BY title) AS titles,
+                  group_concat(DISTINCT rating, ', ') WITHIN GROUP (ORDER BY rating) AS ratings
+           FROM {films} GROUP BY category_id""",
+        films=films,
+    )
+
+
+def base_changes(spark: SparkSession, folder: str) -> DataFrame:
+    """What the base tables' refresh changes over an earlier build's, table by table."""
+    place = work_folder(spark)
+    pipeline.store_relations(Models(_earlier_tables(spark, folder)), place, SCHEMAS)
+    return pipeline.changes(spark, TpchSources(spark, folder), place)
+
+
+def long_lists(spark: SparkSession, folder: str) -> DataFrame:
+    """The days of all payments of an amount as ordered lists in pieces: each day with its first place."""
+    paid = _models(spark, folder)["payment"].select("amount", F.col("payment_date").cast("string").alias("day"))
+    pieces = list_pieces(paid, ["amount"], "day", piece_rows=1000)
+    rows = pieces.select("amount", "piece", F.posexplode("texts").alias("place", "t"))
+    before = F.sum("t._n").over(Window.partitionBy("amount", "piece").orderBy("place").rowsBetween(Window.unboundedPreceding, -1))
+    totals = pieces.select("amount", "piece", F.coalesce(
+        F.sum("n_texts").over(Window.partitionBy("amount").orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
+    ).alias("carried"))
+    placed = rows.withColumn("before", F.coalesce(before, F.lit(0))).join(totals, ["amount", "piece"])
+    return placed.select("amount", F.col("t._text").alias("day"), F.col("t._n").alias("n_texts"), (F.col("carried") + F.col("before") + 1).alias("first_place"))
+
+
+def category_titles(spark: SparkSession, folder: str) -> DataFrame:
+    """Each category's titles, put together from pieces."""
+    m = _models(spark, folder)
+    films = m["film"].join(m["film_category"].select("film_id", "category_id"), "film_id")
+    return assemble(list_pieces(films, ["category_id"], "title", piece_rows=50), ["category_id"], "titles")
+
+
+PHRASES = ("small ring", "Brand 2 red", "economy brand 17", "gear", "hot hot", "brand", "ring small", "nowhere at all", "...")
+
+
+def phrase_hits(spark: SparkSession, folder: str) -> DataFrame:
+    """Where phrases begin in the films' descriptions and titles."""
+    index = token_index(_models(spark, folder)["film"], "film_id", ["description", "title"], left_out=[""])
+    return phrase_search(index, "film_id", PHRASES)
 
 
 def _rentals_as_of(rental: DataFrame, moment: date) -> DataFrame:
@@ -395,6 +488,17 @@ def queries() -> dict[str, Query]:
         "refresh_diff": refresh_rentals,
         "upsert_stamped": upsert_rentals,
         "title_token_index": title_token_index,
+        "dq_unique_wide": dq_unique_wide,
+        "dq_orphans_found": dq_orphans_found,
+        "dq_negatives_found": dq_negatives_found,
+        "dq_mismatches_found": dq_mismatches_found,
+        "loaded_defaults": loaded_defaults,
+        "defaults_now": defaults_now,
+        "sql_group_concat": sql_group_concat,
+        "base_changes": base_changes,
+        "long_lists": long_lists,
+        "category_titles": category_titles,
+        "phrase_hits": phrase_hits,
         "refresh_tree_diff": refresh_tree_diff,
         "changed_payments": changed_payments,
         "row_history": row_history,

@@ -49,6 +49,7 @@ def main(arguments: list[str] | None = None) -> int:
     build.add_argument(
         "--file", action="append", default=[], metavar="TABLE=NAME", help="dump file of another name"
     )
+    build.add_argument("--defaults", action="store_true", help="fill missing values with the columns' defaults")
     check = commands.add_parser("check")
     for command in (build, check):
         command.add_argument("--out", required=True)
@@ -56,7 +57,7 @@ def main(arguments: list[str] | None = None) -> int:
     if options.command == "build":
         spark = _session(options.folder if options.source != "table" else None)
         files = dict(pair.split("=", 1) for pair in options.file)
-        load = loader(spark, options.source, options.folder, files)
+        load = loader(spark, options.source, options.folder, files, options.defaults)
         code = _conclude(pipeline.build(spark, load, options.out)[1], options.out)
     else:
         spark = _session(options.out)

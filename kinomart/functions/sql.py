@@ -56,6 +56,18 @@ FUNCTIONS = {
 }
 
 
+def register_group_concat(spark: SparkSession) -> None:
+    """The aggregate under its name in the source database: ``group_concat(text, ', ') WITHIN GROUP
+    (ORDER BY text)``, also with DISTINCT. SQL functions cannot hold aggregates, so it is a second
+    name of the session's ``listagg``; NULLs are skipped, a group of NULLs gives NULL."""
+    functions = spark._jsparkSession.sessionState().functionRegistry()
+    identifier = spark._jvm.org.apache.spark.sql.catalyst.FunctionIdentifier
+    known = identifier("listagg")
+    functions.registerFunction(
+        identifier("group_concat"), functions.lookupFunction(known).get(), functions.lookupFunctionBuilder(known).get()
+    )
+
+
 def register(spark: SparkSession, models: Models, relations: Iterable[str] | None = None) -> None:
     """Views of all base tables, staging models and reports, and the functions over them."""
     for name in relations or [*SCHEMAS, *STAGING, *REPORTS]:
@@ -66,6 +78,7 @@ def register(spark: SparkSession, models: Models, relations: Iterable[str] | Non
         "names": ", ".join(customer.columns),
         "item": dict(models["inventory"].dtypes)["inventory_id"],
     }
+    register_group_concat(spark)
     for name, body in FUNCTIONS.items():
         text = body.format(**columns)
         spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}{text}")

@@ -71,7 +71,7 @@ def _path(spark: SparkSession, path: str):
     return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def folder_exists(spark: SparkSession, path: str) -> bool:
     files, place = _path(spark, path)
     return files.exists(place)
 
@@ -122,7 +122,7 @@ def materialize(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> D
         # One writer per partition at best; large partitions are split, small ones merged.
         rows = df.hint("rebalance", *[F.col(c) for c in partition_by])
     spark = df.sparkSession
-    if not _exists(spark, path):
+    if not folder_exists(spark, path):
         rows.write.partitionBy(*partition_by).parquet(path)
     else:  # complete first, then in the old one's place: it may be what is being read
         fresh = f"{path.rstrip('/')}.new-{uuid.uuid4().hex}"

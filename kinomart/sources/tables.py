@@ -34,11 +34,17 @@ def read_parquet(spark: SparkSession, table: str, folder: str) -> DataFrame:
 
 
 def loader(
-    spark: SparkSession, kind: str, folder: str, files: Mapping[str, str] | None = None
+    spark: SparkSession,
+    kind: str,
+    folder: str,
+    files: Mapping[str, str] | None = None,
+    defaults: bool = False,
+    loaded_at: str | None = None,
 ) -> Callable[[str], DataFrame]:
     """Base tables by name: ``parquet`` folders, ``dump`` files or catalog ``table`` names.
 
-    ``files`` names dump files that are not called after their table.
+    ``files`` names dump files that are not called after their table. With ``defaults`` the
+    columns' defaults fill missing columns and NULLs, as of ``loaded_at`` or now.
     """
     files = files or {}
     readers: dict[str, Callable[[str], DataFrame]] = {
@@ -47,7 +53,8 @@ def loader(
         "table": lambda name: declared(spark.table(f"{folder}.{name}"), name),
         "tpch": TpchSources(spark, folder),
     }
-    return readers[kind]
+    read = readers[kind]
+    return (lambda name: with_defaults(read(name), name, loaded_at)) if defaults else read
 
 
 def read_jdbc(

@@ -552,6 +552,25 @@ def _union(parts: list[str]) -> str:
     return "\nUNION ALL\n".join(parts)
 
 
+def _base_changes() -> str:
+    """Every base table against its earlier state, by what that state lacks or holds otherwise."""
+    moment = "TIMESTAMP '1998-01-01'"
+    found = {
+        "rental": f"CASE WHEN rental_date >= {moment} THEN 'added' WHEN return_date >= {moment} THEN 'changed' ELSE 'unchanged' END",
+        "payment": f"CASE WHEN payment_date < {moment} THEN 'unchanged' ELSE 'added' END",
+        "inventory": "CASE WHEN film_id % 50 = 1 THEN 'added' ELSE 'unchanged' END",
+        "film": "CASE WHEN film_id % 50 = 2 THEN 'changed' ELSE 'unchanged' END",
+        "customer": "CASE customer_id % 50 WHEN 3 THEN 'changed' WHEN 4 THEN 'added' ELSE 'unchanged' END",
+    }
+    return _union(
+        [
+            f"SELECT '{name}' AS relation, change, count(*) AS n_rows FROM"
+            f" (SELECT {found.get(name, chr(39) + 'unchanged' + chr(39))} AS change FROM t_{name}) GROUP BY change"
+            for name in PRIMARY_KEYS
+        ]
+    )
+
+
 EARLIER = """(SELECT rental_id, rental_date, inventory_id, customer_id,
         CASE WHEN return_date < TIMESTAMP '1998-01-01' THEN return_date END AS return_date,
         staff_id, last_update FROM t_rental WHERE rental_date < TIMESTAMP '1998-01-01')"""
@@ -640,6 +659,47 @@ OTHERS = {
                CASE WHEN o.rental_id IS NULL OR o.return_date IS NOT DISTINCT FROM n.return_date
                     THEN n.last_update ELSE TIMESTAMP '1999-01-01' END AS last_update
         FROM t_rental n LEFT JOIN {EARLIER} o ON n.rental_id = o.rental_id""",
+    "dq_unique_wide": """
+        SELECT rental_id, customer_id, payment_date, amount, count(*) AS n_records FROM t_payment
+        GROUP BY ALL HAVING count(*) > 1 AND payment_date IS NOT NULL""",
+    "dq_orphans_found": """
+        SELECT f.rental_id, f.customer_id FROM fct_rental f
+        LEFT JOIN (SELECT customer_id FROM dim_customer WHERE customer_id % 50 <> 7) c
+          ON c.customer_id = f.customer_id WHERE c.customer_id IS NULL""",
+    "dq_negatives_found": """
+        SELECT payment_id, customer_id, (-payment_amount)::DECIMAL(12,2) AS payment_amount
+        FROM fct_rental WHERE payment_id % 97 = 5 AND payment_amount > 0""",
+    "dq_mismatches_found": """
+        SELECT rental_id, actual_payment, calculated_late_fee, (total_revenue + 0.02)::DECIMAL(12,2) AS total_revenue,
+               actual_payment + calculated_late_fee AS calculated_total
+        FROM rental_analytics WHERE rental_id % 97 = 3""",
+    "loaded_defaults": """
+        SELECT film_id, rental_duration::SMALLINT AS rental_duration, 4.99::DECIMAL(4,2) AS rental_rate, replacement_cost,
+               CASE WHEN rating = 'NR' THEN 'G' ELSE rating END AS rating, TIMESTAMP '2020-01-01' AS last_update
+        FROM t_film""",
+    "defaults_now": "SELECT film_id, true AS is_recent FROM t_film",
+    "sql_group_concat": """
+        SELECT category_id, string_agg(title, ', ' ORDER BY title) AS titles,
+               string_agg(DISTINCT rating, ', ' ORDER BY rating) AS ratings
+        FROM t_film JOIN t_film_category USING (film_id) GROUP BY category_id""",
+    "base_changes": _base_changes(),
+    "long_lists": """
+        SELECT amount, day, n_texts,
+               CAST(sum(n_texts) OVER (PARTITION BY amount ORDER BY day) - n_texts + 1 AS BIGINT) AS first_place
+        FROM (SELECT amount, CAST(payment_date AS VARCHAR) AS day, count(*) AS n_texts
+              FROM t_payment GROUP BY ALL)""",
+    "category_titles": """
+        SELECT category_id, string_agg(title, ', ' ORDER BY title) AS titles
+        FROM t_film JOIN t_film_category USING (film_id) GROUP BY category_id""",
+    "phrase_hits": """
+        SELECT phrase, film_id, i::INTEGER AS position FROM (
+            SELECT phrase, film_id, words, wanted, unnest(generate_series(1, len(words))) AS i
+            FROM (SELECT film_id, list_filter(string_split_regex(lower(description || ' ' || title), '[^\\p{L}\\p{M}\\p{N}]+'),
+                                              lambda w: w <> '') AS words FROM t_film),
+                 (SELECT phrase, list_filter(string_split_regex(lower(phrase), '[^\\p{L}\\p{M}\\p{N}]+'), lambda w: w <> '') AS wanted
+                  FROM (VALUES ('small ring'), ('Brand 2 red'), ('economy brand 17'), ('gear'), ('hot hot'), ('brand'),
+                               ('ring small'), ('nowhere at all'), ('...')) AS p(phrase)))
+        WHERE len(wanted) > 0 AND words[i:i + len(wanted) - 1] = wanted""",
     "changed_payments": """
         SELECT payment_id, CASE WHEN o <> 3 THEN amount + CASE WHEN o = 1 THEN 1 ELSE 0 END END::DECIMAL(6,2) AS old_amount,
                CASE WHEN o <> 2 THEN amount END::DECIMAL(6,2) AS new_amount

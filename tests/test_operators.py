@@ -8,10 +8,10 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from kinomart.operators.aggregates import group_concat
+from kinomart.operators.aggregates import assemble, group_concat, list_pieces
 from kinomart.operators.joins import left_join_split
-from kinomart.operators.refresh import refresh_diff, refresh_report, upsert_stamped
-from kinomart.operators.text_index import token_index
+from kinomart.operators.refresh import refresh_diff, refresh_report, rejected_updates, upsert_stamped
+from kinomart.operators.text_index import phrase_search, token_index, words_of
 from kinomart.sources.schemas import PRIMARY_KEYS
 
 
@@ -134,3 +134,67 @@ def test_token_index(spark):
         for r in token_index(films, "film_id", ["title", "description"]).collect()
     }
     assert got == {("dark", 1): [2], ("sea", 1): [3, 5, 7], ("dark", 2): [1]}
+
+
+@pytest.mark.parametrize("distinct", [False, True])
+def test_list_pieces(spark, distinct):
+    """A group with nine tenths of all texts, copies, NULLs, a group of NULLs, a NULL group."""
+    rng = random.Random(4)
+    rows = [("big" if rng.random() < 0.9 else rng.choice("abc"), rng.choice([f"t{rng.randrange(2000):05}", "same"])) for _ in range(3000)]
+    rows += [("none", None), ("big", None), (None, "x"), (None, "y"), ("q", "it's, so")]
+    df = spark.createDataFrame(rows, "g string, t string")
+    pieces = list_pieces(df, ["g"], "t", distinct, parts=6, piece_rows=100)
+    lists = defaultdict(list)
+    for g, t in rows:
+        if t is not None:
+            lists[g].append(t)
+    lists = {g: sorted(set(ts)) if distinct else sorted(ts) for g, ts in lists.items()}
+    found = defaultdict(list)
+    for r in pieces.orderBy("g", "piece").collect():
+        assert len(r.texts) <= 100 and r.n_texts == sum(t._n for t in r.texts)
+        found[r.g].append((r.piece, [t._text for t in r.texts for _ in range(t._n)]))
+    assert {g: [t for _, ts in parts for t in ts] for g, parts in found.items()} == lists
+    assert all([p for p, _ in parts] == list(range(1, len(parts) + 1)) for parts in found.values())
+    assert len(found["big"]) > 5
+    whole = {r.g: r.texts for r in assemble(pieces, ["g"], "texts").collect()}
+    assert whole == {g: ", ".join(ts) for g, ts in lists.items()}
+
+
+def test_a_large_group_lies_in_several_tasks(spark):
+    df = spark.range(20_000).select(F.lit("g").alias("g"), F.format_string("%06d", "id").alias("t"))
+    pieces = list_pieces(df, ["g"], "t", parts=8, piece_rows=100_000)
+    sizes = [r.n_texts for r in pieces.collect()]
+    assert len(sizes) >= 7 and max(sizes) < 5_000 and sum(sizes) == 20_000
+
+
+def test_phrase_search_equals_a_scan(spark):
+    rng = random.Random(6)
+    words = ["the", "red", "fox", "a", "of", "ox"]
+    texts = [" ".join(rng.choice(words) for _ in range(rng.randrange(12))) for _ in range(200)]
+    texts += [None, "", "Red--FOX! red fox", "the " * 30]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, t string")
+    phrases = ["red fox", "the", "the the the", "Red, fox", "fox of a", "ox ox", "unknown", "red unknown", "", "a of the"]
+    index = token_index(df, "id", ["t"], left_out=[""])
+    found = Counter(map(tuple, phrase_search(index, "id", phrases).collect()))
+    expected = Counter()
+    for p in phrases:
+        wanted = words_of(p)
+        for i, t in enumerate(texts):
+            own = words_of(t or "")
+            for at in range(len(own)):
+                if wanted and own[at : at + len(wanted)] == wanted:
+                    expected[p, i, at + 1] += 1
+    assert found == expected
+    plan = phrase_search(index, "id", phrases)._jdf.queryExecution().executedPlan().toString()
+    # Words meet by word and row; only the caller's list and its words are broadcast.
+    assert "SortMergeJoin [token" in plan and "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+def test_updates_with_repeated_and_missing_keys(spark):
+    schema = "k int, v string, last_update timestamp_ntz"
+    t1, t2, t3, now = (at(f"2006-01-0{d} 00:00:00") for d in (1, 2, 3, 9))
+    target = spark.createDataFrame([(1, "a", t1), (2, "b", t1), (None, "n", t1)], schema)
+    updates = spark.createDataFrame([(1, "x", t2), (1, "y", t3), (1, "z", t2), (3, "c", t2), (3, "d", t2), (None, "m", t2)], schema)
+    out = Counter(map(tuple, upsert_stamped(target, updates, ["k"], F.lit(now).cast("timestamp_ntz")).collect()))
+    assert out == Counter([(1, "y", now), (2, "b", t1), (3, "d", t2), (None, "n", t1)])
+    assert {r.reason: r.n_rows for r in rejected_updates(updates, ["k"]).collect()} == {"without key": 1, "repeated key": 3}

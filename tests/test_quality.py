@@ -182,3 +182,11 @@ def test_constraint_audit(spark):
         ("rental", "foreign_key_inventory_id"): 1,
         ("payment", "foreign_key_customer_id"): 1,
     }
+
+
+def test_wide_keys_by_fingerprints(spark):
+    rows = [("a", 1), ("a", 1), ("a", 1), ("b", 2), ("b", 3), (None, 1), (None, 1), ("c", None), ("c", None)]
+    df = spark.createDataFrame(rows, "k string, n int")
+    for keys in (("k",), ("k", "n"), ("n",)):
+        assert sorted(map(tuple, q.not_unique_wide(df, *keys).collect())) == sorted(map(tuple, q.not_unique(df, *keys).collect()))
+    assert [tuple(r) for r in q.not_unique_wide(df, "k", "n").collect()] == [("a", 1, 3)]
