@@ -7,13 +7,14 @@ A text's evidence is the sum over its words; its score is the posterior of the b
 
 from __future__ import annotations
 
-import math
 import re
 from collections import Counter
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,8 +22,11 @@ from kinomart.llm.common import stored
 
 LETTERS = re.compile(r"[^\W\d_]+")
 LONGEST = 4
-#: Words a task remembers the scores of before it starts anew: bounds memory, not results.
-REMEMBERED = 200_000
+#: Spark's seed of xxhash64.
+SEED = 42
+#: Words a task remembers the scores of, or counts, before it starts anew; texts it takes up, and words it
+#: scores at a time. They bound memory, not results.
+REMEMBERED, COUNTED, SLICE, CHUNK = 100_000, 25_000, 200, 10_000
 UNKNOWN = "und"
 #: Evidence of a word or n-gram that a language never showed, below its rarest one, in nats.
 PENALTY = 2.0
@@ -55,56 +59,116 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
             words.update((lang, w) for w in LETTERS.findall(text.lower()))
-            if len(words) > REMEMBERED:
+            if len(words) > COUNTED:
                 yield from drain(words)
                 words = Counter()
     yield from drain(words)
 
 
+def _sums(values: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
+    """The sums of the rows of each of n owners; an owner's rows follow each other."""
+    total = np.zeros((n, values.shape[1]), values.dtype)
+    if len(owner):
+        first = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
+        total[owner[first]] = np.add.reduceat(values, first, axis=0)
+    return total
+
+
+class Table:
+    """The words or n-grams of one length: sorted 64-bit hashes, and for each the log frequencies and
+    which languages showed it. Among as many entries as there can be, two of one hash are as good as
+    impossible (a chance of 1 in 10^8 for a million), and would share their counts."""
+
+    def __init__(self, hashes: np.ndarray, langs: np.ndarray, seen: np.ndarray, size: int):
+        totals = np.bincount(langs, seen, size)
+        self.hashes, at = np.unique(hashes, return_inverse=True)
+        self.rows = np.tile(-np.log(np.maximum(totals, 1)) - PENALTY, (len(self.hashes), 1))
+        counts = np.zeros(self.rows.shape)
+        np.add.at(counts, (at, langs), seen)
+        self.shown = (counts > 0).astype(np.float32)
+        own = counts > 0
+        self.rows[own] = np.log((counts / np.maximum(totals, 1))[own])
+
+    def __len__(self) -> int:
+        return len(self.hashes)
+
+    def find(self, grams: list[str]) -> np.ndarray:
+        """The place of each, -1 where it is unknown."""
+        wanted = np.array([xxhash.xxh64_intdigest(g, SEED) for g in grams], np.uint64).view(np.int64)
+        if not len(self.hashes):
+            return np.full(len(wanted), -1)
+        at = np.minimum(np.searchsorted(self.hashes, wanted), len(self.hashes) - 1)
+        return np.where(self.hashes[at] == wanted, at, -1)
+
+    def __contains__(self, gram: str) -> bool:
+        return bool(self.find([gram])[0] >= 0)
+
+
 class Model:
-    """Per-language log frequencies of words and n-grams."""
+    """Per-language log frequencies of words and n-grams, as arrays of numbers."""
 
-    def __init__(self, languages: list[str], entries: list[tuple[str, int, str, int]]):
+    def __init__(self, languages: list[str], entries: Iterable[tuple[str, int, str, int]] = ()):
+        """From (lang, n, gram, seen); n = 0 are words."""
         self.languages = sorted(languages)
         place = {name: i for i, name in enumerate(self.languages)}
-        totals = np.zeros((LONGEST + 1, len(place)))
-        for lang, n, _, seen in entries:
-            totals[n, place[lang]] += seen
-        least = -np.log(np.maximum(totals, 1)) - PENALTY
-        self.tables: list[dict[str, int]] = [{} for _ in range(LONGEST + 1)]
-        rows: list[np.ndarray] = []
-        for lang, n, gram, seen in entries:
-            at = self.tables[n].setdefault(gram, len(rows))
-            if at == len(rows):
-                rows.append(least[n].copy())
-            rows[at][place[lang]] = math.log(seen / totals[n, place[lang]])
-        self.rows = np.array(rows) if rows else np.zeros((1, len(place)))
-        # Which language showed each of them.
-        self.shown = np.zeros(self.rows.shape, np.float32)
-        for lang, n, gram, _ in entries:
-            self.shown[self.tables[n][gram], place[lang]] = 1
-        self.flat = np.zeros(len(place))
+        rows = [(place[lang], n, xxhash.xxh64_intdigest(gram, SEED), seen) for lang, n, gram, seen in entries]
+        langs, lengths, hashes, seen = zip(*rows, strict=True) if rows else ((), (), (), ())
+        self._fill(np.array(langs, np.int64), np.array(lengths, np.int64), np.array(hashes, np.uint64).view(np.int64), np.array(seen, float))
 
-    def score(self, word: str) -> np.ndarray:
-        known = self.tables[0].get(word)
-        if known is not None:
-            return self.rows[known]
+    @classmethod
+    def of_columns(cls, languages: list[str], langs: np.ndarray, lengths: np.ndarray, hashes: np.ndarray, seen: np.ndarray) -> Model:
+        """From columns: each entry's place in the sorted languages, n, hash and count."""
+        model = cls(languages)
+        model._fill(langs, lengths, hashes, seen)
+        return model
+
+    def _fill(self, langs: np.ndarray, lengths: np.ndarray, hashes: np.ndarray, seen: np.ndarray) -> None:
+        self.tables = []
+        for n in range(LONGEST + 1):
+            own = lengths == n
+            self.tables.append(Table(hashes[own], langs[own], seen[own], len(self.languages)))
+
+    def _grams(self, words: list[str], n: int) -> tuple[np.ndarray, np.ndarray]:
+        """The places of the words' n-grams, and the word of each."""
+        parts = [grams(w, n) for w in words]
+        owner = np.repeat(np.arange(len(words)), [len(p) for p in parts])
+        return self.tables[n].find([g for p in parts for g in p]), owner
+
+    def scores(self, words: list[str]) -> np.ndarray:
+        """A row for each word: its own log frequencies, else the mean of its longest known n-grams'; 0
+        if nothing is known."""
+        found = self.tables[0].find(words)
+        scored = np.zeros((len(words), len(self.languages)))
+        scored[found >= 0] = self.tables[0].rows[found[found >= 0]]
+        open_words = np.flatnonzero(found < 0)
         for n in range(LONGEST, 0, -1):
-            table = self.tables[n]
-            found = [table[g] for g in grams(word, n) if g in table]
-            if found:
-                return self.rows[found].mean(axis=0)
-        return self.flat
-
-    def known(self, word: str) -> np.ndarray:
-        """How far each language knows a word: 1 if it showed it, else half the share of its longest
+            if not len(open_words):
+                break
+            at, owner = self._grams([words[i] for i in open_words], n)
+            owner, at = owner[at >= 0], at[at >= 0]
+            counts = np.bincount(owner, minlength=len(open_words))
+            sums, known = _sums(self.tables[n].rows[at], owner, len(open_words)), counts > 0
+            scored[open_words[known]] = sums[known] / counts[known, None]
+            open_words = open_words[~known]
+        return scored
+
+    def score(self, word: str) -> np.ndarray:
+        return self.scores([word])[0]
+
+    def known(self, words: list[str]) -> np.ndarray:
+        """How far each language knows each word: 1 if it showed it, else half the share of its longest
         n-grams that it showed."""
-        n = min(LONGEST, len(word) + 2)
-        parts = grams(word, n)
-        found = [self.tables[n][g] for g in parts if g in self.tables[n]]
-        share = self.shown[found].sum(axis=0) / (2 * len(parts)) if found else self.flat
-        at = self.tables[0].get(word)
-        return share if at is None else np.maximum(share, self.shown[at])
+        shares = np.zeros((len(words), len(self.languages)), np.float32)
+        sizes = np.array([min(LONGEST, len(w) + 2) for w in words])
+        for n in np.unique(sizes):
+            own = np.flatnonzero(sizes == n)
+            at, owner = self._grams([words[i] for i in own], int(n))
+            parts = np.bincount(owner, minlength=len(own))
+            sums = _sums(self.tables[n].shown[at[at >= 0]], owner[at >= 0], len(own))
+            shares[own] = sums / np.maximum(2 * parts, 1)[:, None]
+        found = self.tables[0].find(words)
+        shares[found >= 0] = np.maximum(shares[found >= 0], self.tables[0].shown[found[found >= 0]])
+        return shares
 
 
 def fit(labelled: DataFrame, max_documents: int = 20_000) -> Model:
@@ -118,49 +182,52 @@ def fit(labelled: DataFrame, max_documents: int = 20_000) -> Model:
         rows = rows.where(F.xxhash64("text").bitwiseAND(F.lit(2**31 - 1)) < share)
     counted = rows.mapInArrow(_count, "lang string, n int, gram string, seen bigint")
     total = stored(counted.groupBy("lang", "n", "gram").agg(F.sum("seen").alias("seen")))
-    entries: list[tuple[str, int, str, int]] = []
-    for n in range(LONGEST + 1):
-        table = total.where(F.col("n") == n).toArrow()
-        entries += zip(*(table.column(c).to_pylist() for c in ("lang", "n", "gram", "seen")), strict=True)
-    return Model(sorted({e[0] for e in entries}), entries)
+    languages = sorted(r["lang"] for r in total.select("lang").distinct().collect())
+    # Numbers alone reach the driver: the hash is the one that tasks form.
+    table = total.select("lang", "n", F.xxhash64("gram").alias("hash"), "seen").toArrow()
+    place = pc.index_in(table["lang"], pa.array(languages, pa.string())).to_numpy()
+    columns = [table[c].to_numpy() for c in ("n", "hash", "seen")]
+    return Model.of_columns(languages, place.astype(np.int64), columns[0].astype(np.int64), columns[1], columns[2].astype(float))
 
 
 def _predict(model: Model, text_column: str, with_known: bool = False):
+    size = len(model.languages)
+
+    def learn(words: list[str], rows: np.ndarray, known: np.ndarray) -> None:
+        for at in range(0, len(words), CHUNK):
+            part = words[at : at + CHUNK]
+            rows[at : at + len(part)] = model.scores(part)
+            if with_known:
+                known[at : at + len(part)] = model.known(part)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        size = len(model.languages)
         seen: dict[str, int] = {}
-        rows = np.zeros((REMEMBERED, max(size, 1)))
-        known = np.zeros((REMEMBERED if with_known else 0, max(size, 1)), np.float32)
+        rows, known = np.zeros((REMEMBERED, size)), np.zeros((REMEMBERED, size), np.float32)
         for batch in batches:
             names, scores, shares = [], [], []
-            for text in batch.column(text_column).to_pylist():
-                counts = Counter(LETTERS.findall((text or "").lower()))
-                has_letter = any(map(str.isalpha, counts)) or any(c.isalpha() for w in counts for c in w)
-                if not (has_letter and size):
-                    names.append(UNKNOWN)
-                    scores.append(0.0)
-                    shares.append(0.0)
-                    continue
-                evidence, share = np.zeros(size), np.zeros(size)
-                words = list(counts)
-                for at in range(0, len(words), REMEMBERED):
-                    part = words[at : at + REMEMBERED]
-                    fresh = [w for w in part if w not in seen]
-                    if len(seen) + len(fresh) > REMEMBERED:
-                        seen, fresh = {}, part
-                    for w in fresh:
-                        rows[len(seen)] = model.score(w)
-                        if with_known:
-                            known[len(seen)] = model.known(w)
-                        seen[w] = len(seen)
-                    times, at_rows = np.array([counts[w] for w in part], float), [seen[w] for w in part]
-                    evidence += times @ rows[at_rows]
-                    if with_known:
-                        share += times @ known[at_rows]
-                best = int(evidence.argmax())
-                names.append(model.languages[best])
-                scores.append(float(1 / np.exp(evidence - evidence[best]).sum()))
-                shares.append(float(share[best] / sum(counts.values())))
+            texts = batch.column(text_column)
+            # A few texts at a time: as Python's strings they take several times their size.
+            for at in range(0, len(texts), SLICE):
+                counted = [Counter(LETTERS.findall((t or "").lower())) for t in texts.slice(at, SLICE).to_pylist()]
+                fresh = list(dict.fromkeys(w for counts in counted for w in counts if w not in seen))
+                if len(seen) + len(fresh) > len(rows):
+                    seen, fresh = {}, list(dict.fromkeys(w for counts in counted for w in counts))
+                    if len(fresh) > len(rows):
+                        rows, known = np.zeros((len(fresh), size)), np.zeros((len(fresh), size), np.float32)
+                learn(fresh, rows[len(seen) :], known[len(seen) :])
+                seen.update(zip(fresh, range(len(seen), len(seen) + len(fresh)), strict=True))
+                for counts in counted:
+                    if not (size and any(c.isalpha() for w in counts for c in w)):
+                        names.append(UNKNOWN)
+                        scores.append(0.0)
+                        shares.append(0.0)
+                        continue
+                    times, places = np.fromiter(counts.values(), float, len(counts)), [seen[w] for w in counts]
+                    evidence = times @ rows[places]
+                    best = int(evidence.argmax())
+                    names.append(model.languages[best])
+                    scores.append(float(1 / np.exp(evidence - evidence[best]).sum()))
+                    shares.append(float(times @ known[places, best] / times.sum()))
             more = {"known": pa.array(shares, pa.float64())} if with_known else {}
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(names, pa.string()), pa.array(scores, pa.float64()), *more.values()],
