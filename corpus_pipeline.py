@@ -32,10 +32,11 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each class."""
-    classes = near_dup.near_duplicates(docs)
-    first = classes.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias("first")).distinct()
-    return docs.join(first, F.col("doc_id").eqNullSafe(F.col("first")), "left_semi").select(*docs.columns)
+    """One document of each class of near-duplicates: the one with the smallest doc_id, null ids last.
+
+    Ids link nothing: documents without id, or with one id, stay unless their texts are alike.
+    """
+    return near_dup.first_of_classes(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
