@@ -26,6 +26,17 @@ def bucket(key: str, modulus: int) -> Column:
     return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")) % modulus
 
 
+#: Bytes of a batch of rows that goes to a Python worker.
+BATCH_BYTES = 4 << 20
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """The same rows. Whole texts now go to Python workers in batches of a few MB, however many rows that
+    is: a setting of the session, which only bounds memory."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return df
+
+
 def stored(df: DataFrame, folder: str | None = None) -> DataFrame:
     """The rows written to the session's shared folder and read back: cuts the lineage, survives
     lost executors."""

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kinomart.llm.common import stored
+from kinomart.llm.common import small_batches, stored
 
 LETTERS = re.compile(r"[^\W\d_]+")
 LONGEST = 4
@@ -26,7 +26,7 @@ LONGEST = 4
 SEED = 42
 #: Words a task remembers the scores of, or counts, before it starts anew; texts it takes up, and words it
 #: scores at a time. They bound memory, not results.
-REMEMBERED, COUNTED, SLICE, CHUNK = 100_000, 25_000, 200, 10_000
+REMEMBERED, COUNTED, SLICE, CHUNK = 100_000, 50_000, 200, 10_000
 UNKNOWN = "und"
 #: Evidence of a word or n-gram that a language never showed, below its rarest one, in nats.
 PENALTY = 2.0
@@ -85,9 +85,8 @@ class Table:
         self.rows = np.tile(-np.log(np.maximum(totals, 1)) - PENALTY, (len(self.hashes), 1))
         counts = np.zeros(self.rows.shape)
         np.add.at(counts, (at, langs), seen)
-        self.shown = (counts > 0).astype(np.float32)
-        own = counts > 0
-        self.rows[own] = np.log((counts / np.maximum(totals, 1))[own])
+        self.shown = counts > 0
+        self.rows[self.shown] = np.log((counts / np.maximum(totals, 1))[self.shown])
 
     def __len__(self) -> int:
         return len(self.hashes)
@@ -164,7 +163,7 @@ class Model:
             own = np.flatnonzero(sizes == n)
             at, owner = self._grams([words[i] for i in own], int(n))
             parts = np.bincount(owner, minlength=len(own))
-            sums = _sums(self.tables[n].shown[at[at >= 0]], owner[at >= 0], len(own))
+            sums = _sums(self.tables[n].shown[at[at >= 0]].astype(np.float32), owner[at >= 0], len(own))
             shares[own] = sums / np.maximum(2 * parts, 1)[:, None]
         found = self.tables[0].find(words)
         shares[found >= 0] = np.maximum(shares[found >= 0], self.tables[0].shown[found[found >= 0]])
@@ -175,7 +174,7 @@ def fit(labelled: DataFrame, max_documents: int = 20_000) -> Model:
     """Learns from rows with text and lang. Of more than `max_documents` rows a share by hash of the
     text is used that leaves about as many, whatever the input's size; all words and n-grams of these
     rows stay, for every language."""
-    rows = labelled.where("text is not null and lang is not null").select("lang", "text")
+    rows = small_batches(labelled).where("text is not null and lang is not null").select("lang", "text")
     count = rows.count()
     if count > max_documents:
         share = int(2**31 * max_documents / count)
@@ -249,7 +248,7 @@ def identify(docs: DataFrame, model: Model, carried: Sequence[str] = ("doc_id",)
     """
     types = dict(docs.dtypes)
     names = [*carried, *([] if "text" in carried else ["text"])]
-    rows = docs.select(*[F.col(c).alias(f"c_{i}") for i, c in enumerate(names)])
+    rows = small_batches(docs).select(*[F.col(c).alias(f"c_{i}") for i, c in enumerate(names)])
     given = [f"c_{i} {types[c]}" for i, c in enumerate(names)]
     at = names.index("text")
     new = ["lang_pred string", "score double", "known double"][: len(results)]

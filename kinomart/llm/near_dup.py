@@ -24,12 +24,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kinomart.llm.byte_texts import Texts, mix
-from kinomart.llm.common import SPACE, stored
+from kinomart.llm.common import SPACE, small_batches, stored
 from kinomart.llm.components import components
 
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 36, 6
-SLICE = 2 << 20
+SLICE = 1 << 20
 #: Buckets of at most this many documents are compared pair by pair.
 SMALL = 16
 #: Pairs whose registers agree in a smaller part are no candidates: 0.8 lies six deviations above.
@@ -198,7 +198,7 @@ def _classes(rows_in: DataFrame, similarity: float, size: int, bands: int, rows:
 
 def _rows(docs: DataFrame) -> DataFrame:
     content = F.md5(F.trim(F.regexp_replace("text", SPACE, " ")).cast("binary"))
-    rows = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), F.coalesce("text", F.lit("")).alias("text"))
+    rows = small_batches(docs).select(F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), F.coalesce("text", F.lit("")).alias("text"))
     return rows.withColumn("content", content)
 
 

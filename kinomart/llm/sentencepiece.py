@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinomart.llm.common import texts
+from kinomart.llm.common import small_batches, texts
 
 MARK = "▁"
 WORDS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
@@ -51,6 +52,7 @@ class Vocabulary:
         self.pieces = [model.id_to_piece(i) for i in range(size)]
         self.bytes = {int(p[3:5], 16): i for i, p in enumerate(self.pieces) if model.is_byte(i)}
         self.byte_of = {i: b for b, i in self.bytes.items()}
+        self.plain: tuple[np.ndarray, ...] | None = None
         self.special = {i for i in range(size) if model.is_control(i) or model.is_unknown(i) or model.is_unused(i)}
         plain = [i for i in range(size) if i not in self.special and i not in self.byte_of]
         if len(self.bytes) != 256:
@@ -213,6 +215,36 @@ class Vocabulary:
             text = text[1:]
         return text.replace(MARK, " ")
 
+    def _plain(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The pieces' UTF-8 bytes in a row with spaces for marks, where each begins, its length, whether it
+        begins with a mark, and whether it stands for something else than its own text."""
+        spaced = [p.replace(MARK, " ").encode() for p in self.pieces]
+        lengths = np.array([len(p) for p in spaced], np.int64)
+        odd = np.zeros(len(spaced), bool)
+        odd[[*self.byte_of, *self.special]] = True
+        marked = np.array([p.startswith(MARK) for p in self.pieces])
+        return np.frombuffer(b"".join(spaced), np.uint8), np.cumsum(lengths) - lengths, lengths, marked, odd
+
+    def decode_lists(self, lists: pa.ListArray) -> list[str]:
+        """Each list's text; those of plain pieces are put together as bytes, for all lists at once."""
+        if self.plain is None:
+            self.plain = self._plain()
+        data, starts, lengths, marked, odd = self.plain
+        flat = lists.flatten().to_numpy(zero_copy_only=False)
+        counts = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        last = np.cumsum(counts)
+        strange = np.r_[0, np.cumsum(odd[flat])]
+        place, ends = _gather(starts, lengths, flat)
+        text, byte_ends = data[place], np.r_[0, ends]
+        out = []
+        for i, (low, high) in enumerate(zip(last - counts, last, strict=True)):
+            if strange[high] > strange[low]:
+                out.append(self.decode(flat[low:high].tolist()))
+            else:  # without the space that encoding put in front
+                begin = byte_ends[low] + (high > low and marked[flat[low]])
+                out.append(text[begin : byte_ends[high]].tobytes().decode())
+        return out
+
 
 def _utf8(run: bytearray) -> str:
     try:
@@ -332,9 +364,15 @@ class Encoder:
             at = end
 
 
+@lru_cache(1)
+def _vocabulary(path: str) -> Vocabulary:
+    """Built once in a worker, for all its tasks."""
+    return Vocabulary(path)
+
+
 def _encode(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(Vocabulary(path))
+        encoder = Encoder(_vocabulary(path))
         for batch in batches:
             at = 0
             for rows, ids, ends in encoder.encode_batch(batch.column("text")):
@@ -348,24 +386,29 @@ def _encode(path: str):
 
 def _decode(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = Vocabulary(path)
+        vocabulary = _vocabulary(path)
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                # One text's ids at a time become Python numbers.
-                text = [vocabulary.decode(ids.values.to_pylist() if ids.is_valid else []) for ids in part.column("ids")]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), part.column("ids"), pa.array(text, pa.string())],
+                    [part.column("doc_id"), part.column("ids"), pa.array(vocabulary.decode_lists(part.column("ids")), pa.string())],
                     names=["doc_id", "ids", "decoded"],
                 )
 
     return run
 
 
+def _round_trip(path: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _decode(path)(_encode(path)(batches))
+
+    return run
+
+
 def encode(docs: DataFrame, model: str) -> DataFrame:
     """doc_id, ids (array of int): the whole text's ids without begin or end ids. Null and empty texts
     have no ids; each row is encoded by itself, so repeated rows and doc_ids stay as they are."""
-    return texts(docs).mapInArrow(_encode(model), "doc_id bigint, ids array<int>")
+    return texts(small_batches(docs)).mapInArrow(_encode(model), "doc_id bigint, ids array<int>")
 
 
 def decode(encoded: DataFrame, model: str) -> DataFrame:
@@ -373,9 +416,14 @@ def decode(encoded: DataFrame, model: str) -> DataFrame:
     return encoded.select("doc_id", "ids").mapInArrow(_decode(model), "doc_id bigint, ids array<int>, decoded string")
 
 
+def round_trip(docs: DataFrame, model: str) -> DataFrame:
+    """What `decode` makes of `encode`, in one task for each text: doc_id, ids, decoded."""
+    return texts(small_batches(docs)).mapInArrow(_round_trip(model), "doc_id bigint, ids array<int>, decoded string")
+
+
 def token_digests(docs: DataFrame, model: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of every row, encoded and decoded again."""
-    return decode(encode(docs, model), model).select(
+    return round_trip(docs, model).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")).cast("binary"), 256).alias("ids_sha256"),
