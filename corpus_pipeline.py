@@ -47,7 +47,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids, decoded: each document's tokens, and the text they stand for."""
     model = queries.tokenizer_model()
-    tokens = sentencepiece.decode(sentencepiece.encode(docs, model), model)
+    tokens = sentencepiece.round_trip(docs, model)
     return tokens.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", "decoded")
 
 
