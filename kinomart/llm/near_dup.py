@@ -9,8 +9,8 @@ which links are verified.
 
 Bands of registers put texts into buckets. Small buckets are compared pair by pair, in large ones every
 text with one other. Of large buckets that this does not connect, the texts that are not in the main
-component are compared with all others of other components: tiles of a bucket's registers meet as arrays,
-and only pairs that agree often enough become rows. So every two similar texts that share a band are
+component are compared with all others of other components: tiles of a bucket meet as arrays, and only
+links become rows, as many as connect what is similar. So every two similar texts that share a band are
 linked or connected. Every link is verified by the Jaccard similarity of the shingle sets.
 """
 
@@ -191,7 +191,7 @@ def _classes(rows_in: DataFrame, similarity: float, size: int, bands: int, rows:
         )
         still = stored(named.join(stored(home.where("low != high").select("key", "home", "members")), "key"))
         if not still.isEmpty():
-            links = stored(links.union(_verified(rows_in, texts, _rest(texts, still, similarity), similarity, size)))
+            links = stored(links.union(_rest(rows_in, texts, still, similarity, size)))
     labels = stored(components(links))
     return stored(homes.join(labels, F.col("first") == F.col("node"), "left").select("id", "content", F.coalesce("root", "first").alias("class")))
 
@@ -272,14 +272,23 @@ def _possible(similarity: float) -> Column:
 
 def _compare(similarity: float):
     def run(table: pa.Table) -> pa.Table:
-        """Pairs of one tile and another (or the same): of different components, one of them a stray, of
-        sizes that allow the similarity, with registers that agree often enough."""
+        """Links of one tile and another (or the same): of different components, one of them a stray, of
+        sizes that allow the similarity, with registers that agree often enough, and similar by their
+        shingles. A link between texts that the links before it connect says nothing new."""
         table = table.combine_chunks()
         ids, labels, n, tile = (table[c].to_numpy() for c in ("id", "label", "n", "tile"))
         stray = table["stray"].to_numpy(zero_copy_only=False)
         registers = np.frombuffer(b"".join(table["registers"].to_pylist()), np.uint16).reshape(len(ids), -1)
         low, high = table["i"][0].as_py(), table["j"][0].as_py()
         one, two = np.flatnonzero(tile == low), np.flatnonzero(tile == high)
+        sets = table["shingles"].combine_chunks()
+        root: dict[int, int] = {}
+
+        def find(label: int) -> int:
+            while label in root:
+                label = root[label]
+            return label
+
         found = []
         for at in range(0, len(one), STRIP):
             a = one[at : at + STRIP]
@@ -289,19 +298,27 @@ def _compare(similarity: float):
             for part in range(0, len(x), TILE * STRIP // 4):
                 p, q = a[x[part : part + TILE * STRIP // 4]], two[y[part : part + TILE * STRIP // 4]]
                 near = (registers[p] == registers[q]).mean(axis=1) >= TILE_AGREEMENT
-                found.append(np.sort(np.stack([ids[p[near]], ids[q[near]]]), axis=0))
-        pairs = np.unique(np.concatenate([*found, np.zeros((2, 0), np.int64)], axis=1), axis=1)
-        return pa.table({"a": pa.array(pairs[0], pa.int64()), "b": pa.array(pairs[1], pa.int64())})
+                for k, m in zip(p[near].tolist(), q[near].tolist(), strict=True):
+                    first, second = find(int(labels[k])), find(int(labels[m]))
+                    if first == second:
+                        continue
+                    left, right = (sets[x].values.to_numpy() for x in (k, m))
+                    both = len(np.intersect1d(left, right, assume_unique=True))
+                    if both >= similarity * (len(left) + len(right) - both):
+                        root[max(first, second)] = min(first, second)
+                        found.append(sorted((int(ids[k]), int(ids[m]))))
+        a, b = zip(*found, strict=True) if found else ((), ())
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     return run
 
 
-def _rest(texts: DataFrame, still: DataFrame, similarity: float) -> DataFrame:
-    """Pairs (a, b) of a bucket's strays, texts outside of its main component, and its texts of other
-    components; all pairs that can be similar enough.
+def _rest(rows: DataFrame, texts: DataFrame, still: DataFrame, similarity: float, size: int) -> DataFrame:
+    """Links (a, b) of a bucket's strays, texts outside of its main component, and its texts of other
+    components: enough to connect all that are similar.
 
     A bucket is dealt to tiles of about TILE texts, and every two of its tiles to one task: a text is
-    sent once for each tile of its bucket, and pairs become rows only if they agree.
+    sent once for each tile of its bucket. Two tiles give fewer links than they have texts.
     """
     tiles = F.ceil(F.col("members") / TILE).cast("int")
     dealt = still.select("key", "id", "n", "label", (F.col("label") != F.col("home")).alias("stray"), tiles.alias("tiles"))
@@ -310,7 +327,8 @@ def _rest(texts: DataFrame, still: DataFrame, similarity: float) -> DataFrame:
     placed = dealt.select("key", "id", "n", "label", "stray", "tile", other).withColumns(
         {"i": F.least("tile", "other"), "j": F.greatest("tile", "other")}
     )
-    whole = placed.join(texts.select("id", "registers"), "id").drop("other")
+    sets = _shingle_sets(rows, texts, still.select("id"), size)
+    whole = placed.join(texts.select("id", "registers"), "id").join(sets, "id").drop("other")
     return whole.groupBy("key", "i", "j").applyInArrow(_compare(similarity), "a bigint, b bigint").distinct()
 
 
