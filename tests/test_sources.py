@@ -192,7 +192,7 @@ def test_work_folders_can_be_removed(spark, monkeypatch):
     folder = work_folder(spark)
     materialize(spark.range(3), f"{folder}/t")
     session.remove_work_folders(spark)
-    assert not session._exists(spark, folder)
+    assert not session.folder_exists(spark, folder)
 
 
 def test_a_source_defined_key_is_copied(spark):
