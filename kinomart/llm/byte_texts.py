@@ -25,6 +25,38 @@ def runs(starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return np.arange(len(run)) + (starts - before)[run], run
 
 
+class Places:
+    """Finds distinct numbers by a table of twice their size and more, open addressing."""
+
+    def __init__(self, keys: np.ndarray):
+        self.keys, self.bits = keys, max(1, int(2 * len(keys)).bit_length())
+        self.slot = np.full(1 << self.bits, -1, np.int32)
+        left, at = np.arange(len(keys), dtype=np.int32), self._first(keys)
+        while len(left):
+            free = self.slot[at] < 0
+            self.slot[at[free]] = left[free]
+            out = self.slot[at] != left
+            left, at = left[out], (at[out] + 1) & (len(self.slot) - 1)
+
+    def _first(self, keys: np.ndarray) -> np.ndarray:
+        return (keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def find(self, wanted: np.ndarray) -> np.ndarray:
+        """The place in `keys` of each wanted number; all of them have to be there."""
+        at = self._first(wanted)
+        found = self.slot[at]
+        left = np.flatnonzero(self.keys[found] != wanted)
+        at = at[left]
+        while len(left):
+            at = (at + 1) & (len(self.slot) - 1)
+            found[left] = self.slot[at]
+            if (found[left] < 0).any():
+                raise KeyError("a number that is not among the keys")
+            out = self.keys[found[left]] != wanted[left]
+            left, at = left[out], at[out]
+        return found
+
+
 class Texts:
     """The bytes of a column of texts, A-Z lower-cased if asked for."""
 
@@ -75,16 +107,23 @@ class Texts:
     def grams(self, text: np.ndarray, start: np.ndarray, end: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
         """For each symbol of the parts, ends included: the code of it and the `depth` symbols before
         it, the oldest highest; and its text."""
-        first, last = self.ends[text], self.ends[text + 1]
-        at, run = runs(start - depth, end - start + depth + (end == last))
-        symbols = np.full(len(at), EDGE, np.int64)
-        inside = (at >= first[run]) & (at < last[run])
-        symbols[inside] = self.data[at[inside]]
+        size, closed = end - start, (end == self.ends[text + 1]).astype(np.int64)
+        total = size + depth + closed
+        kinds = np.tile(np.array([False, True, False]), len(text))
+        inside = np.repeat(kinds, np.c_[np.full(len(text), depth), size, closed].ravel())
+        symbols = np.full(len(inside), EDGE, np.int64)
+        # The parts of a slice lie side by side.
+        symbols[inside] = self.data[start[0] : end[-1]] if len(start) else 0
+        begin = np.cumsum(total) - total
+        for i in np.flatnonzero(start > self.ends[text]):  # behind a cut: the symbols before it
+            before = self.data[max(start[i] - depth, self.ends[text[i]]) : start[i]]
+            symbols[begin[i] + depth - len(before) : begin[i] + depth] = before
         code = symbols.copy()
         for k in range(1, depth + 1):
             code[k:] |= symbols[:-k] << (WIDTH * k)
-        new = at >= start[run]
-        return code[new], text[run[new]]
+        kinds = np.tile(np.array([False, True]), len(text))
+        new = np.repeat(kinds, np.c_[np.full(len(text), depth), size + closed].ravel())
+        return code[new], np.repeat(text, size + closed)
 
     def words(self, text: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """A 64-bit hash of each word of the parts, and its text."""

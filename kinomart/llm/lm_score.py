@@ -25,7 +25,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kinomart.llm.byte_texts import EDGE, WIDTH, Texts
+from kinomart.llm.byte_texts import EDGE, WIDTH, Places, Texts
 from kinomart.llm.common import stored
 
 DEPTH = 5
@@ -34,8 +34,11 @@ SUFFIX = 3
 GROUP_GRAMS = 500_000
 #: Bytes of text in a block, which one task holds at a time, and of a slice of it.
 BLOCK, SLICE = 16 << 20, 1 << 20
-END_WORD = 1
-GRAM, WORD = 0, 1
+#: Keys of words are negative, 63 bits of hash; those of byte strings are not.
+WORD = np.iinfo(np.int64).min
+END_WORD = -1
+#: Numbers of blocks that one list holds.
+LISTED = 4096
 
 
 def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
@@ -48,29 +51,37 @@ def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.
 
 def _counted(keys: np.ndarray, taught: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys, and how many of each count."""
+    if not len(keys):
+        return keys, np.zeros(0, np.int64)
     order = np.sort(keys)
-    distinct = order[np.r_[True, order[1:] != order[:-1]]] if len(order) else order
-    known, counts = np.unique(keys[taught], return_counts=True)
-    out = np.zeros(len(distinct), np.int64)
-    out[np.searchsorted(distinct, known)] = counts
-    return distinct, out
+    heads = np.flatnonzero(np.r_[True, order[1:] != order[:-1]])
+    distinct = order[heads]
+    counts = np.diff(np.r_[heads, len(order)])
+    known = np.sort(keys[~taught])
+    if len(known):
+        heads = np.flatnonzero(np.r_[True, known[1:] != known[:-1]])
+        counts[np.searchsorted(distinct, known[heads])] -= np.diff(np.r_[heads, len(known)])
+    return distinct, counts
 
 
-def _block_words(parts: Texts, taught: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    words = [(np.array([END_WORD]), np.array([int(taught.sum())]))]
-    for text, start, end in parts.slices(SLICE):
-        hashes, owner = parts.words(text, start, end)
-        words.append(_counted(hashes, taught[owner]))
-    return _merged(words)
+def _words(parts: Texts) -> list[tuple[np.ndarray, np.ndarray]]:
+    """The keys and the text of each word, slice by slice."""
+    found = (parts.words(*part) for part in parts.slices(SLICE))
+    return [(hashes | WORD, owner) for hashes, owner in found]
+
+
+def _word_counts(words: list[tuple[np.ndarray, np.ndarray]], taught: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    end = (np.array([END_WORD]), np.array([int(taught.sum())]))
+    return _merged([end, *(_counted(keys, taught[owner]) for keys, owner in words)])
 
 
 def _block_counts(parts: Texts, taught: np.ndarray, depth: int):
     """Distinct grams and words of a block, each with its number in the training texts."""
     grams = []
-    for text, start, end in parts.slices(SLICE):
-        codes, owner = parts.grams(text, start, end, depth)
+    for part in parts.slices(SLICE):
+        codes, owner = parts.grams(*part, depth)
         grams.append(_counted(codes, taught[owner]))
-    return _merged(grams), _block_words(parts, taught)
+    return _merged(grams), _word_counts(_words(parts), taught)
 
 
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -94,7 +105,6 @@ def _report(depth: int):
         return pa.table(
             {
                 "block": pa.array(np.full(size, key[0].as_py()), pa.int32()),
-                "kind": pa.array(np.repeat([GRAM, WORD], [len(grams[0]), len(words[0])]), pa.int32()),
                 "key": np.r_[grams[0], words[0]],
                 "seen": np.r_[grams[1], words[1]],
             }
@@ -113,25 +123,23 @@ def _score(depth: int, total: int, distinct: int):
     def run(key: tuple, table: pa.Table, answers: pa.Table) -> pa.Table:
         parts, taught = _unpacked(table), table["taught"].to_numpy()
         size = table.num_rows
-        kind, keys = answers["kind"].to_numpy(), answers["key"].to_numpy()
-        value, seen = answers["value"].to_numpy(), answers["seen"].to_numpy()
-        order = np.argsort(keys[kind == GRAM])
-        gram, log = keys[kind == GRAM][order], value[kind == GRAM][order]
+        keys, value = answers["key"].to_numpy(), answers["value"].to_numpy()
+        gram = keys >= 0
+        log, places = value[gram], Places(keys[gram])
         # Words of this block alone are not sent: their counts are the block's own.
-        word, count = _block_words(parts, taught)
-        sent = keys[kind == WORD]
-        count[np.searchsorted(word, sent)] = seen[kind == WORD]
+        words = _words(parts)
+        word, count = _word_counts(words, taught)
+        count[np.searchsorted(word, keys[~gram])] = value[~gram].astype(np.int64)
         score, base, tokens, known = (np.zeros(size) for _ in range(4))
         floor = np.log10(total + distinct + 1)
-        for text, start, end in parts.slices(SLICE):
-            codes, owner = parts.grams(text, start, end, depth)
-            own, place = np.unique(codes, return_inverse=True)
-            score += _sums(log[np.searchsorted(gram, own)][place], owner, size)
-            hashes, owner = parts.words(text, start, end)
-            own, place = np.unique(hashes, return_inverse=True)
-            c = count[np.searchsorted(word, own)][place]
+        for part in parts.slices(SLICE):
+            codes, owner = parts.grams(*part, depth)
+            score += _sums(log[places.find(codes)], owner, size)
+        places = Places(word)
+        for hashes, owner in words:
+            c = count[places.find(hashes)]
             base += _sums(np.log10(c + 1.0) - floor, owner, size)
-            tokens += _sums(np.ones(len(c)), owner, size)
+            tokens += np.bincount(owner, minlength=size)
             known += _sums(c > 0, owner, size)
         c = count[np.searchsorted(word, END_WORD)]
         return pa.table(
@@ -309,7 +317,7 @@ def score(docs: DataFrame, held_out: Column, depth: int = DEPTH, block: int = BL
     `held_out` is true are scored but teach nothing; repeated rows count and are scored each. `score`
     is the log10 probability of the whole text and its end; divided by n_bytes and log10 2 it is the
     code length per byte. base_score is the sum of log10((c + 1) / (N + V + 1)) over words and end.
-    Words are told apart by 64-bit hashes. No rows give no rows.
+    Words are told apart by 63-bit hashes. No rows give no rows.
     """
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), (~held_out).alias("taught"))
     spark = docs.sparkSession
@@ -317,21 +325,22 @@ def score(docs: DataFrame, held_out: Column, depth: int = DEPTH, block: int = BL
     blocks = max(2 * spark.sparkContext.defaultParallelism, -(-size // block))
     rows = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int"))
     rows = rows.mapInArrow(_pack, "block int, doc_id bigint, taught boolean, packed binary")
-    reports = rows.groupBy("block").applyInArrow(_report(depth), "block int, kind int, key bigint, seen bigint")
-    # A key's list holds at most one number per block.
-    counts = stored(reports.groupBy("kind", "key").agg(F.sum("seen").alias("seen"), F.collect_list("block").alias("blocks")))
-    words, grams = (counts.where(F.col("kind") == k) for k in (WORD, GRAM))
+    reports = rows.groupBy("block").applyInArrow(_report(depth), "block int, key bigint, seen bigint")
+    # A string that occurs everywhere has several lists of blocks, none longer than LISTED.
+    lists = stored(
+        reports.groupBy("key", F.expr(f"block div {LISTED}").alias("part")).agg(
+            F.sum("seen").alias("seen"), F.collect_list("block").alias("blocks")
+        )
+    )
+    sums = lists.groupBy("key").agg(F.sum("seen").alias("seen"), F.sum(F.size("blocks")).alias("n"))
+    grams = stored(sums.where("key >= 0").select("key", "seen"))
+    words = stored(sums.where("key < 0"))
     known = words.where("seen > 0").agg(F.sum("seen").alias("n"), F.count("*").alias("v")).first()
     groups = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-grams.count() // GROUP_GRAMS))
-    scored = gram_scores(grams.select("key", "seen"), depth, groups)
-    answers = (
-        grams.join(scored, "key")
-        .select("kind", "key", "seen", F.col("value").cast("float").alias("value"), "blocks")
-        .unionByName(
-            words.where("size(blocks) > 1").select("kind", "key", "seen", F.lit(0).cast("float").alias("value"), "blocks")
-        )
+    values = gram_scores(grams, depth, groups).unionByName(
+        words.where("n > 1").select("key", F.col("seen").cast("double").alias("value"))
     )
-    answers = answers.select("kind", "key", "seen", "value", F.explode("blocks").alias("block"))
+    answers = lists.select("key", "blocks").join(values, "key").select(F.explode("blocks").alias("block"), "key", "value")
     return (
         rows.groupBy("block")
         .cogroup(answers.groupBy("block"))

@@ -96,12 +96,13 @@ def _tree_score(trained, text, depth):
     return total
 
 
-@pytest.mark.parametrize("depth", [1, 4])
+@pytest.mark.parametrize("depth", [1, 4, 5])
 def test_context_tree_like_brute_force(spark, depth, monkeypatch):
     rng = random.Random(depth)
     texts = [" ".join(rng.choice(["Abra", "cadabra", "é", "x"]) for _ in range(rng.randint(0, 12))) for _ in range(14)] + [None]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
     monkeypatch.setattr(lm_score, "SLICE", 40)
+    monkeypatch.setattr(lm_score, "LISTED", 3)
     found = {r.doc_id: r for r in lm_score.score(docs, F.col("doc_id") % 5 == 0, depth).collect()}
     lowered = [(t or "").lower().encode() for t in texts]
     trained = [i for i in range(len(texts)) if i % 5]
@@ -110,7 +111,7 @@ def test_context_tree_like_brute_force(spark, depth, monkeypatch):
     for i, data in enumerate(lowered):
         tokens = [*data.split(), None]
         base = sum(math.log10((words[w] + 1) / (n + v + 1)) for w in tokens)
-        assert found[i].score == pytest.approx(_tree_score([lowered[k] for k in trained], data, depth), rel=1e-5)
+        assert found[i].score == pytest.approx(_tree_score([lowered[k] for k in trained], data, depth), rel=1e-9)
         assert found[i].base_score == pytest.approx(base)
         assert (found[i].n_tokens, found[i].n_known) == (len(tokens), sum(words[w] > 0 for w in tokens))
         assert found[i].train_tokens == n
