@@ -106,10 +106,11 @@ def hashed(keys: DataFrame) -> DataFrame:
     return keys.select(F.xxhash64("key").alias("a"), F.xxhash64("key", F.lit(1)).alias("b"))
 
 
-def cascade(listed: DataFrame, others: DataFrame, max_bytes: int) -> Cascade:
+def cascade(listed: DataFrame, others: DataFrame, max_bytes: int, overlap: bool = False) -> Cascade:
     """The cascade that tells the keys `listed` from the keys `others`, both as hashes a, b.
 
-    The levels go to the driver and from there to the tasks; a list whose first level would take
+    With `overlap` the others may hold listed keys: of those that pass the first level, which are few, the listed ones
+    are taken out. The levels go to the driver and from there to the tasks; a list whose first level would take
     more than `max_bytes` has to be parted before (see `judge`)."""
     levels: list[tuple[int, np.ndarray]] = []
     inside, outside = listed, others
@@ -127,6 +128,8 @@ def cascade(listed: DataFrame, others: DataFrame, max_bytes: int) -> Cascade:
         words[table.column("word").to_numpy()] = table.column("value").to_numpy().view(np.uint64)
         levels.append((bits, words))
         wrong = outside.mapInArrow(_passing(levels, level), "a bigint, b bigint")
+        if overlap and not level:
+            wrong = stored(wrong).join(listed, ["a", "b"], "left_anti")
         inside, outside = stored(wrong), inside
     return Cascade(levels)
 
@@ -162,7 +165,7 @@ def judge(pages: DataFrame, rules: DataFrame, key: str = "page_id", max_bytes: i
     together, then the longer host) is reported and decides. Where no rule fits, a fitting entry that is no rule (a plain
     block list) blocks if it says so; else the url is allowed. Null urls and urls without ://
     have an empty host and path and are allowed. Entries with nulls are left out; of repeated
-    entries blocking wins. Repeated pages are each judged.
+    entries blocking wins. Repeated pages are each judged. Keys are told apart by 128 bits of hash.
 
     A list too large for `max_bytes` of filter is parted by hash, and the parts are looked up one
     after the other, each pass over a stored table.
@@ -177,13 +180,11 @@ def judge(pages: DataFrame, rules: DataFrame, key: str = "page_id", max_bytes: i
     lengths = [r.n for r in entries.select("n").distinct().orderBy("n").collect()]
     urls = pages.select(F.col(key).alias("page_key"), host(F.col("url")).alias("host"), path(F.col("url")).alias("path"))
     asked = urls.withColumn("keys", candidate_keys("host", "path", lengths))
-    universe = asked.select(F.explode("keys").alias("key")).distinct()
-    flagged = stored(
-        universe.join(
-            entries.groupBy("key").agg(F.max("block").alias("block"), F.max("is_rule").alias("is_rule")), "key", "left"
-        ).select("block", "is_rule", F.xxhash64("key").alias("a"), F.xxhash64("key", F.lit(1)).alias("b"))
-    )
-    count = flagged.where("block is not null").count()
+    keys = F.explode("keys").alias("key")
+    universe = stored(hashed(asked.select(keys)).distinct())
+    by_key = entries.groupBy("key").agg(F.max("block").alias("block"), F.max("is_rule").alias("is_rule"))
+    listed = stored(by_key.select("block", "is_rule", F.xxhash64("key").alias("a"), F.xxhash64("key", F.lit(1)).alias("b")))
+    count = listed.count()
     parts = max(1, math.ceil(count * BITS_PER_KEY / 8 / max_bytes * 1.25))
     number = F.expr(f"pmod(pmod(a, {parts}) + if(a < 0, {2**64 % parts}, 0), {parts})")
     rows = asked.select(
@@ -201,10 +202,9 @@ def judge(pages: DataFrame, rules: DataFrame, key: str = "page_id", max_bytes: i
         "flags array<bigint>"
     )
     for part in range(parts):
-        own = flagged.where(number == part)
-        taken = own.where("block is not null")
+        taken, asked_for = listed.where(number == part), universe.where(number == part)
         cascades = {
-            "listed": cascade(taken.select("a", "b"), own.where("block is null").select("a", "b"), max_bytes),
+            "listed": cascade(taken.select("a", "b"), asked_for, max_bytes, overlap=True),
             "rule": cascade(taken.where("is_rule").select("a", "b"), taken.where("not is_rule").select("a", "b"), max_bytes),
             "block": cascade(taken.where("block").select("a", "b"), taken.where("not block").select("a", "b"), max_bytes),
         }

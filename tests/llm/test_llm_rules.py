@@ -82,10 +82,12 @@ def test_cascade_is_exact(spark):
     keys = spark.range(20_000).select(F.concat(F.lit("h"), F.col("id").cast("string")).alias("key"), "id")
     listed, others = keys.where("id % 3 = 0"), keys.where("id % 3 != 0")
     built = url_filter.cascade(url_filter.hashed(listed), url_filter.hashed(others), 1 << 20)
-    assert len(built.levels) > 2
+    mixed = url_filter.cascade(url_filter.hashed(listed), url_filter.hashed(keys), 1 << 20, overlap=True)
+    assert len(built.levels) > 2 and len(mixed.levels) > 2
     for frame, expected in ((listed, True), (others, False)):
         table = url_filter.hashed(frame).toArrow()
-        assert (built.listed(table["a"].to_numpy(), table["b"].to_numpy()) == expected).all()
+        for c in (built, mixed):
+            assert (c.listed(table["a"].to_numpy(), table["b"].to_numpy()) == expected).all()
 
 
 def test_a_list_in_parts(spark):
