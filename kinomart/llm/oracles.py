@@ -93,8 +93,14 @@ p AS (
     FROM d JOIN w USING (label)),
 used AS (
     SELECT *, rest > 0 AND sum(n) OVER (PARTITION BY label ORDER BY o, doc_id ROWS UNBOUNDED PRECEDING) <= rest AS cut
-    FROM p)
-SELECT doc_id, source, unnest(generate_series(0, passes + CAST(cut AS BIGINT) - 1)) AS epoch, block FROM used"""
+    FROM p),
+e AS (SELECT doc_id, source, label, unnest(generate_series(0, passes + CAST(cut AS BIGINT) - 1)) AS epoch, block FROM used)
+SELECT doc_id, source, epoch, block,
+       row_number() OVER (
+           PARTITION BY label, epoch
+           ORDER BY md5('17:' || epoch || ':' || label || ':' || block),
+                    md5('17:' || epoch || ':' || coalesce(CAST(doc_id AS VARCHAR), '')), doc_id) AS place
+FROM e"""
 
 LINE_DEDUP = r"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, text FROM documents),

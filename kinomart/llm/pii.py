@@ -23,7 +23,6 @@ from pyspark.sql.window import Window
 
 from kinomart.llm.common import stored
 
-KEY = b"surrogates"
 MAX_EXCEPTIONS = 100_000
 
 #: First names by script and gender.
@@ -207,7 +206,7 @@ def _private(octets: list[int]) -> bool:
     return a in (0, 10, 127) or a >= 224 or (a, b) in ((192, 168), (169, 254)) or (a == 172 and 16 <= b < 32)
 
 
-def surrogate(kind: str, text: str, key: bytes = KEY) -> str:
+def surrogate(kind: str, text: str, key: bytes) -> str:
     """The replacement of an entity that is no name: same type and format."""
     if kind == "ip":
         parts = [int(p) for p in text.split(".")]
@@ -233,14 +232,14 @@ def surrogate(kind: str, text: str, key: bytes = KEY) -> str:
     return _shaped(text, key, kind)
 
 
-def first_name(name: str, key: bytes = KEY) -> str:
+def first_name(name: str, key: bytes) -> str:
     """Another first name of the same gender and script; a permutation of each list."""
     names = FIRST_NAMES[GENDER[name]]
     order = sorted(names, key=lambda n: _number(key, "first", n))
     return order[(order.index(name) + 1) % len(order)]
 
 
-def surname(name: str, attempt: int = 0, syllables: int = 5, key: bytes = KEY) -> str:
+def surname(name: str, attempt: int, syllables: int, key: bytes) -> str:
     """A surname of the same script and number of parts, spelled from syllables."""
     parts = []
     for part in name.split("-"):
@@ -286,7 +285,7 @@ def names_in(text: str) -> tuple[list[tuple[int, int]], set[str]]:
     return places, last
 
 
-def replace(text: str, tries: dict[str, int], syllables: int, key: bytes = KEY) -> tuple[str, list[str]]:
+def replace(text: str, tries: dict[str, int], syllables: int, key: bytes) -> tuple[str, list[str]]:
     """The text with surrogates, and the types of what was replaced, in order.
 
     A surname found with a first name or title, and a first name found with a surname or title, is replaced
@@ -341,7 +340,7 @@ def _spell(syllables: int, key: bytes):
     return run
 
 
-def resolved_surnames(docs: DataFrame, key: bytes = KEY, syllables: int = 5) -> tuple[dict[str, int], int]:
+def resolved_surnames(docs: DataFrame, key: bytes, syllables: int = 5) -> tuple[dict[str, int], int]:
     """Which surnames need another try so that no two of the corpus share a surrogate and none is
     itself a surname of the corpus, and how many syllables surrogates have.
 
@@ -387,13 +386,17 @@ def _replace_all(tries: dict[str, int], syllables: int, key: bytes):
     return run
 
 
-def pseudonymize(docs: DataFrame, key: bytes = KEY) -> DataFrame:
+def pseudonymize(docs: DataFrame, key: bytes) -> DataFrame:
     """doc_id, text, n_entities, kinds: every row's whole text with surrogates.
 
+    `key` (not empty, at most 64 bytes) is the caller's secret: who has it can undo the permutations, and equal
+    keys give equal surrogates from run to run.
     Null texts stay null and empty ones empty, without entities. A surrogate depends on the key and
     the entity, and for surnames on the corpus; repeated rows get equal texts. A permutation may map
     an entity to itself, with a chance of one in the number of strings of its shape.
     """
+    if not key:
+        raise ValueError("surrogates need a secret key")
     tries, syllables = resolved_surnames(docs, key)
     rows = docs.select("doc_id", "text").mapInArrow(
         _replace_all(tries, syllables, key), "doc_id bigint, text string, kinds array<string>"

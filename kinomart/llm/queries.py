@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import secrets
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -37,7 +38,8 @@ def tokenizer_model() -> str:
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """As flat a mix of as many tokens as there are, with no source used more than 1.25 times."""
     mixed = mixing.mix(read(spark, sf_dir, "documents"), budget_share=1.0, max_repetition=1.25)
-    return mixed.select("doc_id", "source", F.col("_epoch").alias("epoch"), F.col("_block").alias("block"))
+    placed = mixing.with_places(mixed.select("doc_id", "source", "_epoch", "_block"))
+    return placed.select("doc_id", "source", *[F.col(f"_{c}").alias(c) for c in ("epoch", "block", "place")])
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,7 +93,9 @@ def op9_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii.pseudonymize(read(spark, sf_dir, "documents"))
+    """Surrogates under the key of the session's setting, else under a new one that nobody keeps."""
+    key = spark.conf.get("spark.kinomart.pii.key", "") or secrets.token_hex(32)
+    return pii.pseudonymize(read(spark, sf_dir, "documents"), key.encode())
 
 
 def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:

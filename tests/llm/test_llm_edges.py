@@ -7,6 +7,8 @@ from kinomart.llm import exact_dedup, lang_id, line_dedup, lm_score, mixing, nea
 from kinomart.llm.common import bucket
 from kinomart.llm.queries import tokenizer_model
 
+KEY = b"a key of the tests"
+
 LONG = "Über alle Gipfeln ist Ruh\n" * 4000 + "x" * 60_000
 TEXTS = [
     (1, "one two three four five six\nseven eight"),
@@ -44,7 +46,7 @@ RUNS = {
     "line_dedup": line_dedup.dedup_lines,
     "sentencepiece": lambda d: sentencepiece.token_digests(d, tokenizer_model()),
     "near_dup": near_dup.near_duplicates,
-    "pii": pii.pseudonymize,
+    "pii": lambda d: pii.pseudonymize(d, KEY),
 }
 
 

@@ -10,6 +10,8 @@ import pytest
 from kinomart.llm import mixing, pii, quality_rules, url_filter
 from pyspark.sql import functions as F
 
+KEY = b"a key of the tests"
+
 
 @pytest.fixture(scope="module")
 def sources(spark):
@@ -124,7 +126,7 @@ def _shape(text):
 @pytest.mark.parametrize("kind", sorted(ENTITIES))
 def test_surrogates_keep_type_and_format(kind):
     text = ENTITIES[kind]
-    new, kinds = pii.replace(f"x {text} y {text}", {}, 5)
+    new, kinds = pii.replace(f"x {text} y {text}", {}, 5, KEY)
     first, second = new[2:].split(" y ")
     assert kinds == [kind, kind] and first == second != text
     assert pii._is(kind, first)
@@ -138,23 +140,23 @@ def test_numbers_are_permuted():
     size = 1000
     assert sorted(pii.permute(x, size, b"k", "l") for x in range(size)) == list(range(size))
     cards = [f"4111 1111 1111 {n:04}" for n in range(3000)]
-    assert len({pii.surrogate("card", c) for c in cards}) == len(cards)
+    assert len({pii.surrogate("card", c, KEY) for c in cards}) == len(cards)
 
 
 def test_names_keep_gender_script_and_reference():
-    new, _ = pii.replace("Anna Müller met Пётр Иванов. Müller spoke, Frau Weber too. Иванов left.", {}, 5)
+    new, _ = pii.replace("Anna Müller met Пётр Иванов. Müller spoke, Frau Weber too. Иванов left.", {}, 5, KEY)
     m = re.fullmatch(r"(\w+) (\w+) met (\w+) (\w+)\. (\w+) spoke, Frau (\w+) too\. (\w+) left\.", new)
     assert pii.GENDER[m[1]] == ("latin", "f") and pii.GENDER[m[3]] == ("cyrillic", "m")
     assert m[2] == m[5] and m[4] == m[7] and m[6] not in ("Weber", m[2])
     assert re.fullmatch("[А-Я][а-я]+", m[4])
     for names in pii.FIRST_NAMES.values():
-        assert sorted(map(pii.first_name, names)) == sorted(names)
+        assert sorted(pii.first_name(n, KEY) for n in names) == sorted(names)
 
 
 def test_surnames_stay_distinct(spark):
     names = [f"Frau {a}{b}{c}" for a in "BDFGK" for b in "aeiou" for c in ("lm", "rn", "st", "ck", "nd")]
     docs = spark.createDataFrame([(i, n) for i, n in enumerate(names)], "doc_id bigint, text string")
-    tries, syllables = pii.resolved_surnames(docs, syllables=2)
-    new = [pii.surname(n[5:], tries.get(n[5:], 0), syllables) for n in names]
+    tries, syllables = pii.resolved_surnames(docs, KEY, syllables=2)
+    new = [pii.surname(n[5:], tries.get(n[5:], 0), syllables, KEY) for n in names]
     assert tries and len(set(new)) == len(names)
     assert not set(new) & {n[5:] for n in names}
