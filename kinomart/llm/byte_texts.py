@@ -12,10 +12,13 @@ EDGE, WIDTH = 256, 9
 
 
 def mix(x: np.ndarray) -> np.ndarray:
-    x = (x + np.uint64(0x9E3779B97F4A7C15)).astype(np.uint64)
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+    x = (x + np.uint64(0x9E3779B97F4A7C15)).astype(np.uint64, copy=False)
+    x ^= x >> np.uint64(30)
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(27)
+    x *= np.uint64(0x94D049BB133111EB)
+    x ^= x >> np.uint64(31)
+    return x
 
 
 def runs(starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -78,7 +81,7 @@ class Texts:
             while True:
                 end = stop
                 if stop - start > limit:
-                    later = np.flatnonzero(self.space[start + limit : start + 2 * limit])
+                    later = np.flatnonzero(self.space[start + limit : min(start + 2 * limit, stop)])
                     if not len(later):
                         later = np.flatnonzero(self.space[start + limit : stop])
                     end = start + limit + int(later[0]) + 1 if len(later) else stop
@@ -126,18 +129,22 @@ class Texts:
         return code[new], np.repeat(text, size + closed)
 
     def words(self, text: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """A 64-bit hash of each word of the parts, and its text."""
-        at, run = runs(start, end - start)
-        if not len(at):
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        space = self.space[at]
-        begins = ~space & np.r_[True, space[:-1] | (run[1:] != run[:-1])]
-        letters = np.flatnonzero(~space)
-        if not len(letters):
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        """A 64-bit hash of each word of the parts, which lie side by side, and its text."""
+        none = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        if not len(text) or start[0] == end[-1]:
+            return none
+        low, high = start[0], end[-1]
+        letter = ~self.space[low:high]
+        begins = letter.copy()
+        begins[1:] &= ~letter[:-1]
+        heads = start[start < end] - low
+        begins[heads] = letter[heads]
         first = np.flatnonzero(begins)
-        number = np.cumsum(begins)[letters] - 1
-        place = (letters - first[number]).astype(np.uint64)
-        mixed = mix(self.data[at[letters]].astype(np.uint64) + np.uint64(256) * place)
-        heads = np.flatnonzero(np.r_[True, number[1:] != number[:-1]])
-        return mix(np.add.reduceat(mixed, heads)).view(np.int64), text[run[first]]
+        if not len(first):
+            return none
+        letters = np.flatnonzero(letter)
+        at = np.searchsorted(letters, first)
+        place = letters - np.repeat(first, np.diff(np.r_[at, len(letters)]))
+        mixed = mix((self.data[low:high][letter] + np.int64(256) * place).view(np.uint64))
+        owner = text[np.searchsorted(start, first + low, "right") - 1]
+        return mix(np.add.reduceat(mixed, at)).view(np.int64), owner

@@ -45,8 +45,12 @@ def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.
     """Sorted distinct keys of several (keys, counts), and their sums."""
     if not parts:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    keys, place = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
-    return keys, np.bincount(place, np.concatenate([n for _, n in parts]), len(keys)).astype(np.int64)
+    keys = np.concatenate([k for k, _ in parts])
+    # The parts are sorted: a stable sort merges them.
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    heads = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+    return keys[heads], np.add.reduceat(np.concatenate([n for _, n in parts])[order], heads)
 
 
 def _counted(keys: np.ndarray, taught: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
