@@ -186,22 +186,25 @@ def with_places(mixed: DataFrame, seed: int = 17) -> DataFrame:
     source's uses of that epoch, from 1.
 
     Every epoch has its own permutation of the blocks, and of the documents within each block. Uses are numbered
-    within their block; the blocks ahead, few enough to be counted in one window, are added. Rows of one source
+    within a part of their block; the parts ahead, few enough to be counted in one window, are added. Rows of one source
     and doc_id are neighbours in no fixed order. A column _place of `mixed` is replaced.
     """
-    keys = ["source", "_epoch", "_block"]
+    keys = ["source", "_epoch", "_block", "part"]
 
     def drawn(*parts: Column) -> Column:
         return F.md5(F.concat_ws(":", F.lit(seed), F.col("_epoch"), *parts).cast("binary"))
 
-    inside = Window.partitionBy(*keys).orderBy(drawn(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), "doc_id")
+    mixed = mixed.drop("_place")
+    # A block's documents are numbered in 16 parts, by the first digit of their draw.
+    dealt = mixed.withColumn("draw", drawn(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))).withColumn("part", F.substring("draw", 1, 1))
+    inside = Window.partitionBy(*keys).orderBy("draw", "doc_id")
     # Blocks hold a bounded number of tokens, and there are at most MAX_BLOCKS and one per source.
-    sizes = mixed.groupBy(*keys).agg(F.count("*").alias("uses"))
-    turn = Window.partitionBy("source", "_epoch").orderBy(drawn(label(), F.col("_block"))).rowsBetween(Window.unboundedPreceding, -1)
+    sizes = dealt.groupBy(*keys).agg(F.count("*").alias("uses"))
+    turn = Window.partitionBy("source", "_epoch").orderBy(drawn(label(), F.col("_block")), "part").rowsBetween(Window.unboundedPreceding, -1)
     ahead = stored(sizes.select(*[F.col(k).alias(f"of_{k}") for k in keys], F.coalesce(F.sum("uses").over(turn), F.lit(0)).alias("ahead")))
     same = [F.col(k).eqNullSafe(F.col(f"of_{k}")) for k in keys]
     return (
-        mixed.withColumn("_place", F.row_number().over(inside))
+        dealt.withColumn("_place", F.row_number().over(inside))
         .join(ahead, same)
-        .select(*[c for c in mixed.columns if c != "_place"], (F.col("ahead") + F.col("_place")).alias("_place"))
+        .select(*mixed.columns, (F.col("ahead") + F.col("_place")).alias("_place"))
     )
