@@ -81,6 +81,18 @@ def test_tree_diff_reads_changed_leaves_only(spark, tmp_path):
     assert "PartitionFilters: [" in plan and "_leaf" in plan.split("PartitionFilters: [")[1].split("]")[0]
 
 
+def test_small_leaves_do_not_become_many_folders(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(digest_tree, "MANY_LEAVES", 20)
+    a = spark.range(1000).select(F.col("id").alias("k"), F.lit("x").alias("a")).union(spark.sql("SELECT 7L, 'again' UNION ALL SELECT NULL, 'none'"))
+    b = a.withColumn("a", F.when(F.col("k") == 555, "y").otherwise(F.col("a")))
+    old = digest_tree.store_refresh(a, ["k"], f"{tmp_path}/old", leaf_rows=1)
+    new = digest_tree.store_refresh(b, ["k"], f"{tmp_path}/new", old)
+    assert 10 < len(list(Path(f"{tmp_path}/old/rows").glob("_leaf=*"))) <= 21
+    assert not Path(f"{tmp_path}/old/staged").exists()
+    assert counts(digest_tree.tree_diff(old, new)) == counts(refresh_diff(a, b, ["k"]))
+    assert [r.k for r in digest_tree.changed_rows(old, new).collect()] == [555]
+
+
 def test_tree_of_other_keys_columns_and_nothing(spark, tmp_path):
     a = spark.createDataFrame([("a", 1, 1.5), ("b", 2, None), ("b", 3, 0.0)], "k string, n int, v double")
     old = digest_tree.store_refresh(a, ["k", "n"], f"{tmp_path}/old", leaf_rows=1)
