@@ -22,7 +22,7 @@ from kinomart.operators.text_index import phrase_search, token_index
 from kinomart.plans import checks, pipeline
 from kinomart.plans.deltas import MaintainedMarts
 from kinomart.plans.models import MARTS, RELATIONS, STAGING, Models
-from kinomart.session import materialize, work_folder
+from kinomart.session import materialize, size_shuffles, work_folder
 from kinomart.sources import tables
 from kinomart.sources.schemas import SCHEMAS
 from kinomart.sources.text import NULL_MARK, read_dump
@@ -38,8 +38,14 @@ if HAS_LLM:
     from kinomart.llm import queries as llm_queries
 
 
+def _sources(spark: SparkSession, folder: str) -> TpchSources:
+    sources = TpchSources(spark, folder)
+    size_shuffles(spark, sources.bytes())
+    return sources
+
+
 def _models(spark: SparkSession, folder: str) -> Models:
-    return Models(TpchSources(spark, folder))
+    return Models(_sources(spark, folder))
 
 
 def _relation(name: str) -> Query:
@@ -160,7 +166,7 @@ def _plain_audit(audit: Callable[[Models], DataFrame]) -> Query:
 
 def dq_summary(spark: SparkSession, folder: str) -> DataFrame:
     """The full build, and its report of the declared checks."""
-    return pipeline.build(spark, TpchSources(spark, folder), work_folder(spark), report=checks.summary)[1]
+    return pipeline.build(spark, _sources(spark, folder), work_folder(spark), report=checks.summary)[1]
 
 
 def dq_unique_wide(spark: SparkSession, folder: str) -> DataFrame:
@@ -343,7 +349,7 @@ def customer_balances(spark: SparkSession, folder: str) -> DataFrame:
 def _earlier_tables(spark: SparkSession, folder: str) -> Callable[[str], DataFrame]:
     """The base tables of an earlier refresh: later rentals, returns and payments are missing, some items,
     too, and some films and customers differ."""
-    load = TpchSources(spark, folder)
+    load = _sources(spark, folder)
 
     def earlier(name: str) -> DataFrame:
         df = load(name)

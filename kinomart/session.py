@@ -38,6 +38,19 @@ def shuffle_settings(input_bytes: int, cores: int) -> dict[str, str]:
     }
 
 
+#: Bytes of compressed shuffle data that one task reads.
+TASK_BYTES = 16 << 20
+
+
+def size_shuffles(spark: SparkSession, input_bytes: int) -> None:
+    """Later shuffles of this session get enough partitions for so much input (shuffled rows take up to
+    about four times their files), of which adaptive execution merges no more than TASK_BYTES into a
+    task: a task's sorts and hash tables then stay as large as they are, whatever the input."""
+    partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-4 * input_bytes // TASK_BYTES))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(partitions))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(TASK_BYTES))
+
+
 def local_session(cores: int | str = "*", memory: str = "8g", **extra: str) -> SparkSession:
     """A local session for tests and the bench; a cluster brings its own."""
     builder = SparkSession.builder.master(f"local[{cores}]").appName("kinomart")

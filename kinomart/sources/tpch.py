@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from kinomart.session import folder_bytes, folder_exists
 from kinomart.sources.schemas import RATINGS
 
 _DDL = {
@@ -58,6 +59,11 @@ class TpchSources:
     def __call__(self, name: str) -> DataFrame:
         return getattr(self, name)()
 
+    def bytes(self) -> int:
+        """Bytes of the tables' files."""
+        paths = [f"{self.folder}/{name}.parquet" for name in _DDL]
+        return sum(folder_bytes(self.spark, p) for p in paths if folder_exists(self.spark, p))
+
     def _read(self, name: str) -> DataFrame:
         return self.spark.read.schema(_DDL[name]).parquet(f"{self.folder}/{name}.parquet")
 

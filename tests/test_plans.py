@@ -6,6 +6,7 @@ import fixtures as fx
 import pytest
 
 import __spark_entry__ as entry
+from kinomart import session
 from kinomart.functions import rental as fn
 from kinomart.plans import checks, pipeline
 from kinomart.plans.models import RELATIONS, Models
@@ -111,3 +112,18 @@ def test_partitioned_marts_are_pruned(spark, tmp_path):
     assert sorted(map(str, wide.collect())) == sorted(map(str, expected))
     june = wide.where("rental_year = 2005 and rental_month = 6")
     assert "PartitionFilters: [isnotnull(rental_year" in plan(june) and june.count() == 6
+
+
+def test_shuffles_are_sized_by_the_input(spark):
+    names = ("spark.sql.adaptive.coalescePartitions.initialPartitionNum", "spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    before = {name: spark.conf.get(name, None) for name in names}
+    try:
+        found = []
+        for size in (0, 1 << 30, 6 << 30):
+            session.size_shuffles(spark, size)
+            found.append(int(spark.conf.get(names[0])))
+            assert spark.conf.get(names[1]) == str(session.TASK_BYTES)
+        assert found == [int(spark.conf.get("spark.sql.shuffle.partitions")), 256, 1536]
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
