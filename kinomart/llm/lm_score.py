@@ -33,7 +33,7 @@ DEPTH = 5
 SUFFIX = 3
 GROUP_GRAMS = 500_000
 #: Bytes of text in a block, which one task holds at a time, and of a slice of it.
-BLOCK, SLICE = 16 << 20, 1 << 20
+BLOCK, SLICE = 8 << 20, 1 << 20
 #: Keys of words are negative, 63 bits of hash; those of byte strings are not.
 WORD = np.iinfo(np.int64).min
 END_WORD = -1
@@ -129,16 +129,19 @@ def _score(depth: int, total: int, distinct: int):
         size = table.num_rows
         keys, value = answers["key"].to_numpy(), answers["value"].to_numpy()
         gram = keys >= 0
-        log, places = value[gram], Places(keys[gram])
-        # Words of this block alone are not sent: their counts are the block's own.
-        words = _words(parts)
-        word, count = _word_counts(words, taught)
-        count[np.searchsorted(word, keys[~gram])] = value[~gram].astype(np.int64)
+        log, places, others, seen = value[gram], Places(keys[gram]), keys[~gram], value[~gram].astype(np.int64)
+        # The answers are copied, and what strings need is let go before words are looked at.
+        del answers, keys, value, gram
         score, base, tokens, known = (np.zeros(size) for _ in range(4))
         floor = np.log10(total + distinct + 1)
         for part in parts.slices(SLICE):
             codes, owner = parts.grams(*part, depth)
             score += _sums(log[places.find(codes)], owner, size)
+        del log, places
+        # Words of this block alone are not sent: their counts are the block's own.
+        words = _words(parts)
+        word, count = _word_counts(words, taught)
+        count[np.searchsorted(word, others)] = seen
         places = Places(word)
         for hashes, owner in words:
             c = count[places.find(hashes)]
