@@ -6,8 +6,9 @@ from decimal import Decimal
 import fixtures as fx
 import pytest
 from fixtures import at, by
+from pyspark.sql import functions as F
 
-from kinomart.plans.marts import dim_film, fct_rental
+from kinomart.plans.marts import dim_film, fct_rental, rental_analytics, rental_analytics_of_rentals
 from kinomart.plans.models import MARTS
 
 
@@ -192,3 +193,17 @@ def test_null_date_keeps_one_row(spark):
 def test_return_dates(fact):
     assert fact[1][0].return_date_id == date(2005, 5, 26)
     assert fact[1][0].rental_date == at("2005-05-24 22:00:00")
+
+
+@pytest.mark.parametrize("hot_rows", [1, 1_000_000])
+def test_the_wide_table_is_the_facts_with_repeated_and_missing_keys(spark, models, hot_rows):
+    base = {r: models[r] for r in ("stg_rental", "stg_payment", "stg_inventory", "stg_film")}
+    dims = {d: models[d].union(models[d]) for d in ("dim_customer", "dim_film")}
+    dims |= {"dim_store": models["dim_store"].limit(1), "dim_date": models["dim_date"].where("day > 3")}
+    base["stg_rental"] = base["stg_rental"].union(base["stg_rental"].limit(2)).withColumn(
+        "customer_id", F.nullif("customer_id", F.lit(2))
+    )
+    wanted = rental_analytics(fct_rental(*base.values()), *dims.values())
+    found = rental_analytics_of_rentals(*base.values(), *dims.values(), hot_rows=hot_rows)
+    assert found.schema == wanted.schema
+    assert sorted(map(str, found.collect())) == sorted(map(str, wanted.collect()))

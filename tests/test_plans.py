@@ -127,3 +127,32 @@ def test_shuffles_are_sized_by_the_input(spark):
     finally:
         for name, value in before.items():
             spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def exchanges(df) -> list[str]:
+    """A plan's exchanges by hash, from the top."""
+    return [line for line in plan(df).splitlines() if "Exchange hashpartitioning(" in line]
+
+
+def test_lines_are_dealt_by_order_once(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = exchanges(TpchSources(spark, FOLDER).payment())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # One for the lines, for their numbers and the join; one for the orders.
+    assert len(found) == 2
+    assert all("l_linenumber" not in line.split("hashpartitioning(")[1].split(")")[0] for line in found)
+
+
+def test_large_dimensions_join_rentals_before_payments_multiply_them(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        wide = Models(TpchSources(spark, FOLDER))["rental_analytics"]
+        found = exchanges(wide)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # Above the one with the payments there is only that of the days.
+    first = [i for i, line in enumerate(found) if "_part" in line][0]
+    assert ["rental_date_id" in line for line in found[:first]] == [True]
+    assert any("customer_id" in line for line in found[first:]) and any("film_id" in line for line in found[first:])
