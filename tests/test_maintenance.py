@@ -304,3 +304,14 @@ def test_check_states_merge_to_the_full_report(spark, tmp_path):
 
 def test_keys_of_stored_refreshes_are_declared():
     assert PRIMARY_KEYS["rental"] == ("rental_id",) and PRIMARY_KEYS["payment"] == ("payment_id",)
+
+
+def test_a_refresh_reads_each_table_once(spark):
+    old = spark.createDataFrame([(1, None, 5), (None, None, 6), (None, 2, 6), (3, 3, 7)], "a int, b int, v int")
+    new = spark.createDataFrame([(1, None, 5), (None, None, 6), (None, None, 7), (3, 3, 8), (3, 3, 9)], "a int, b int, v int")
+    found = refresh_diff(old, new, ["a", "b"])
+    assert {tuple(r) for r in found.collect()} == {
+        ("without key in old", 3), ("without key in new", 3), ("changed", 1), ("repeated in new", 1)
+    }
+    scans = found._jdf.queryExecution().optimizedPlan().toString()
+    assert scans.count("LogicalRDD") == 2
