@@ -52,6 +52,19 @@ def test_split_join_with_nothing_to_match(spark):
     assert [tuple(r) for r in left_join_split(left, right, "k", 1).collect()] == [(1, "x", None)]
 
 
+@pytest.mark.parametrize("list_rows", [1, 3, 10_000])
+def test_split_join_with_lists(spark, list_rows):
+    left = [(1, "a"), (1, "again"), (2, "b"), (3, "none"), (None, "null")]
+    right = [(1, 10 + i) for i in range(7)] + [(2, None), (2, 5), (9, 1), (None, 2)]
+    lists = left_join_split(
+        spark.createDataFrame(left, "k int, a string"), spark.createDataFrame(right, "k int, v int"), "k", list_rows, listed=True
+    )
+    found = Counter((r.k, r.a, v) for r in lists.collect() for v in (r.v if r.v is not None else [None]))
+    assert found == joined(left, right)
+    # Without hot keys there is one row for each left row.
+    assert list_rows < 10_000 or lists.count() == len(left)
+
+
 @settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(st.tuples(st.sampled_from([1, 2, None]), st.text("abcé,", max_size=3) | st.none()),
                 min_size=1, max_size=40))

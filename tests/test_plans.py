@@ -8,8 +8,8 @@ import pytest
 import __spark_entry__ as entry
 from kinomart import session
 from kinomart.functions import rental as fn
-from kinomart.plans import checks, pipeline
-from kinomart.plans.models import RELATIONS, Models
+from kinomart.plans import checks, marts, pipeline
+from kinomart.plans.models import DIMENSIONS, RELATIONS, Models
 from kinomart.sources.tpch import TpchSources
 
 FOLDER = "/root/testdata/sf0.001"
@@ -156,3 +156,38 @@ def test_large_dimensions_join_rentals_before_payments_multiply_them(spark):
     first = [i for i, line in enumerate(found) if "_part" in line][0]
     assert ["rental_date_id" in line for line in found[:first]] == [True]
     assert any("customer_id" in line for line in found[first:]) and any("film_id" in line for line in found[first:])
+
+
+def test_no_shuffle_of_the_stored_wide_table_moves_the_fact(spark, tmp_path):
+    models = Models(TpchSources(spark, FOLDER))
+    pipeline.with_stored_dimensions(models, str(tmp_path))
+    pipeline.with_stored_fact(models, str(tmp_path))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(models["rental_analytics"])
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # Payments leave their lists after the joins with customers, films and stores.
+    above, below = text[: text.index("Generate inline(")], text[text.index("Generate inline(") :]
+    assert above.count("Exchange hashpartitioning(") == above.count("Exchange hashpartitioning(rental_date_id") == 1
+    # Both sides of the three joins, and the days.
+    assert below.count("Exchange hashpartitioning(") == 7 and "fct_rental" not in text
+
+
+def test_marts_of_listed_payments_equal_the_joined_ones(spark, tmp_path):
+    for list_rows in (1, 10_000):
+        models = fx.models(spark)
+        inputs = [models[name] for name in ("stg_rental", "stg_payment", "stg_inventory", "stg_film")]
+        paid = marts.paid_rentals(*inputs, list_rows)
+        fact = marts.fct_rental_of_paid(paid)
+        wide = marts.rental_analytics_of_paid(paid, *[models[name] for name in DIMENSIONS])
+        for found, name in ((fact, "fct_rental"), (wide, "rental_analytics")):
+            assert found.dtypes == models[name].dtypes
+            assert sorted(map(str, found.collect())) == sorted(map(str, models[name].collect()))
+
+
+def test_stored_tables_are_in_the_order_of_their_keys(spark, tmp_path):
+    rows = spark.range(100).selectExpr("id * 7 % 100 AS id").coalesce(1)
+    stored = session.materialize(rows, f"{tmp_path}/t", sort_by=["id"])
+    assert [r.id for r in stored.collect()] == list(range(100))
+    assert all(f.endswith(".zstd.parquet") for f in stored.inputFiles())
