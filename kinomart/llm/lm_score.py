@@ -17,7 +17,7 @@ and the counts of its own words. No table goes to every task.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -26,14 +26,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kinomart.llm.byte_texts import EDGE, WIDTH, Places, Texts
-from kinomart.llm.common import stored
+from kinomart.llm.common import small_batches, stored
 
 DEPTH = 5
 #: Contexts of this length and longer are weighted within tasks, shorter ones as tables.
 SUFFIX = 3
-GROUP_GRAMS = 500_000
+GROUP_GRAMS = 100_000
 #: Bytes of text in a block, which one task holds at a time, and of a slice of it.
-BLOCK, SLICE = 8 << 20, 1 << 20
+BLOCK, SLICE = 8 << 20, 256 << 10
+#: Rows of a batch that goes from a task's Python worker to Spark.
+BATCH_ROWS = 50_000
 #: Keys of words are negative, 63 bits of hash; those of byte strings are not.
 WORD = np.iinfo(np.int64).min
 END_WORD = -1
@@ -43,9 +45,9 @@ LISTED = 4096
 
 def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct keys of several (keys, counts), and their sums."""
-    if not parts:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    keys = np.concatenate([k for k, _ in parts])
+    keys = np.concatenate([np.zeros(0, np.int64), *(k for k, _ in parts)])
+    if not len(keys):
+        return keys, np.zeros(0, np.int64)
     # The parts are sorted: a stable sort merges them.
     order = np.argsort(keys, kind="stable")
     keys = keys[order]
@@ -53,6 +55,17 @@ def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.
     return keys[heads], np.add.reduceat(np.concatenate([n for _, n in parts])[order], heads)
 
 
+def _gathered(parts: Iterator[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """The same for many parts, merged as they come: each part held is more than twice the next, so
+    that all of them are about as large as their distinct keys."""
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+    for part in parts:
+        held.append(part)
+        while len(held) > 1 and len(held[-2][0]) <= 2 * len(held[-1][0]):
+            held[-2:] = [_merged(held[-2:])]
+    return _merged(held)
+
+
 def _counted(keys: np.ndarray, taught: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys, and how many of each count."""
     if not len(keys):
@@ -68,51 +81,59 @@ def _counted(keys: np.ndarray, taught: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return distinct, counts
 
 
-def _words(parts: Texts) -> list[tuple[np.ndarray, np.ndarray]]:
+def _words(parts: Texts) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """The keys and the text of each word, slice by slice."""
-    found = (parts.words(*part) for part in parts.slices(SLICE))
-    return [(hashes | WORD, owner) for hashes, owner in found]
+    for part in parts.slices(SLICE):
+        hashes, owner = parts.words(*part)
+        yield hashes | WORD, owner.astype(np.int32)
 
 
-def _word_counts(words: list[tuple[np.ndarray, np.ndarray]], taught: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _word_counts(words: Iterable[tuple[np.ndarray, np.ndarray]], taught: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     end = (np.array([END_WORD]), np.array([int(taught.sum())]))
-    return _merged([end, *(_counted(keys, taught[owner]) for keys, owner in words)])
+    return _merged([end, _gathered(_counted(keys, taught[owner]) for keys, owner in words)])
 
 
-def _block_counts(parts: Texts, taught: np.ndarray, depth: int):
-    """Distinct grams and words of a block, each with its number in the training texts."""
-    grams = []
+def _gram_counts(parts: Texts, taught: np.ndarray, depth: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     for part in parts.slices(SLICE):
         codes, owner = parts.grams(*part, depth)
-        grams.append(_counted(codes, taught[owner]))
-    return _merged(grams), _word_counts(_words(parts), taught)
+        yield _counted(codes, taught[owner])
+
+
+def _block_counts(parts: Texts, taught: np.ndarray, depth: int):
+    """Distinct grams and words of a block, each with its number in the training texts."""
+    return _gathered(_gram_counts(parts, taught, depth)), _word_counts(_words(parts), taught)
+
+
+def _batched(*tables: pa.Table) -> pa.Table:
+    """The rows of all tables, in batches that neither Python nor Spark has to hold at once."""
+    batches = [b for t in tables for b in t.to_batches(max_chunksize=BATCH_ROWS)]
+    return pa.Table.from_batches(batches, tables[0].schema)
 
 
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Compresses each text for its way to its block."""
+    """Lower-cases each text and compresses it for its way to its block."""
     codec = zstandard.ZstdCompressor(level=1)
     for batch in batches:
-        packed = [codec.compress(t.as_buffer()) for t in batch.column("text")]
+        packed = [codec.compress(t.as_buffer().to_pybytes().lower()) for t in batch.column("text")]
         columns = [batch.column(c) for c in ("block", "doc_id", "taught")]
         yield pa.RecordBatch.from_arrays([*columns, pa.array(packed, pa.binary())], names=["block", "doc_id", "taught", "packed"])
 
 
 def _unpacked(table: pa.Table) -> Texts:
     codec = zstandard.ZstdDecompressor()
-    return Texts(pa.array([codec.decompress(p.as_buffer()) for p in table["packed"]], pa.large_binary()))
+    data, ends = bytearray(), [0]
+    for packed in table["packed"]:
+        data += codec.decompress(packed.as_buffer())
+        ends.append(len(data))
+    buffers = [None, pa.py_buffer(np.array(ends, np.int64)), pa.py_buffer(data)]
+    return Texts(pa.Array.from_buffers(pa.large_binary(), len(ends) - 1, buffers), lower=False)
 
 
 def _report(depth: int):
     def run(key: tuple, table: pa.Table) -> pa.Table:
-        grams, words = _block_counts(_unpacked(table), table["taught"].to_numpy(), depth)
-        size = len(grams[0]) + len(words[0])
-        return pa.table(
-            {
-                "block": pa.array(np.full(size, key[0].as_py()), pa.int32()),
-                "key": np.r_[grams[0], words[0]],
-                "seen": np.r_[grams[1], words[1]],
-            }
-        )
+        counts = _block_counts(_unpacked(table), table["taught"].to_numpy(), depth)
+        block = np.int32(key[0].as_py())
+        return _batched(*(pa.table({"block": np.full(len(keys), block), "key": keys, "seen": seen}) for keys, seen in counts))
 
     return run
 
@@ -139,7 +160,7 @@ def _score(depth: int, total: int, distinct: int):
             score += _sums(log[places.find(codes)], owner, size)
         del log, places
         # Words of this block alone are not sent: their counts are the block's own.
-        words = _words(parts)
+        words = list(_words(parts))
         word, count = _word_counts(words, taught)
         count[np.searchsorted(word, others)] = seen
         places = Places(word)
@@ -236,7 +257,7 @@ def _lower(depth: int, suffix: int):
 
     def run(table: pa.Table) -> pa.Table:
         top = _levels(table["key"].to_numpy(), table["seen"].to_numpy(), depth, suffix)[0][-1]
-        return pa.table({"code": top.codes, "a": top.zeros, "b": top.ones, "weighted": top.weighted, "stay": top.stay})
+        return _batched(pa.table({"code": top.codes, "a": top.zeros, "b": top.ones, "weighted": top.weighted, "stay": top.stay}))
 
     return run
 
@@ -257,7 +278,7 @@ def _finish(depth: int, suffix: int):
             one = np.where(level.zeros + level.ones > 0, mixed + reach * level.estimate, one[at])
         chance = np.where(bit == 1, one[place], 1 - one[place])
         value = np.where(valid, np.log10(chance), 0).sum(axis=1)
-        return pa.table({"key": keys, "value": value})
+        return _batched(pa.table({"key": keys, "value": value}))
 
     return run
 
@@ -326,7 +347,7 @@ def score(docs: DataFrame, held_out: Column, depth: int = DEPTH, block: int = BL
     code length per byte. base_score is the sum of log10((c + 1) / (N + V + 1)) over words and end.
     Words are told apart by 63-bit hashes. No rows give no rows.
     """
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), (~held_out).alias("taught"))
+    rows = small_batches(docs).select("doc_id", F.coalesce("text", F.lit("")).alias("text"), (~held_out).alias("taught"))
     spark = docs.sparkSession
     size = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     blocks = max(2 * spark.sparkContext.defaultParallelism, -(-size // block))

@@ -2,6 +2,7 @@
 
 import math
 import random
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -117,6 +118,48 @@ def test_context_tree_like_brute_force(spark, depth, monkeypatch):
         assert found[i].train_tokens == n
 
 
+def _block(texts):
+    columns = {"block": pa.array([0] * len(texts), pa.int32()), "doc_id": list(range(len(texts))), "taught": [True] * len(texts), "text": texts}
+    return pa.Table.from_batches(lm_score._pack(iter(pa.table(columns).to_batches())))
+
+
+def test_counting_holds_distinct_strings_once(monkeypatch):
+    """What a block's task holds grows with its distinct strings, not with its slices."""
+    monkeypatch.setattr(lm_score, "SLICE", 4096)
+    rng = random.Random(1)
+    passage = " ".join("".join(rng.choices("abcdefgh", k=6)) for _ in range(600))
+    parts = lm_score._unpacked(_block([passage] * 500))
+    tracemalloc.start()
+    (grams, seen), (words, counts) = lm_score._block_counts(parts, np.ones(500, bool), 5)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(grams) < 5000 and seen.sum() == 500 * (len(passage) + 1)
+    assert len(words) < 700 and counts.sum() == 500 * 601
+    assert peak < 8 << 20
+
+
+def test_block_reports_in_small_batches():
+    rng = random.Random(2)
+    text = "".join(rng.choices("abcdefghijklmnopqrstuvwxyz ", k=200_000))
+    report = lm_score._report(5)((pa.scalar(7),), _block([text, text.upper(), ""]))
+    assert report.num_rows > 150_000
+    assert report["seen"].to_numpy().sum() == 2 * (len(text) + 1) + 1 + 2 * len(text.split()) + 3
+    assert set(report["block"].to_pylist()) == {7}
+    assert max(b.num_rows for b in report.to_batches()) <= 50_000
+
+
+def test_texts_reach_scoring_in_small_batches(spark):
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(1 << 30))
+    try:
+        docs = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id bigint, text string")
+        assert lm_score.score(docs, F.col("doc_id") == 2, 1).count() == 2
+        assert int(spark.conf.get(name)) <= 4 << 20
+    finally:
+        spark.conf.set(name, before)
+
+
 def test_language_of_held_out_text(spark):
     truth = {r.doc_id: r.lang for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect()}
     found = queries.op4_language(spark, FOLDER).collect()
