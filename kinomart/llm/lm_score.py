@@ -34,6 +34,8 @@ SUFFIX = 3
 GROUP_GRAMS = 100_000
 #: Bytes of text in a block, which one task holds at a time, and of a slice of it.
 BLOCK, SLICE = 8 << 20, 256 << 10
+#: Blocks that one task counts, one after the other, if there are enough for all cores.
+COUNTED = 3
 #: Rows of a batch that goes from a task's Python worker to Spark.
 BATCH_ROWS = 50_000
 #: Keys of words are negative, 63 bits of hash; those of byte strings are not.
@@ -337,6 +339,13 @@ def _shorter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pydict(columns)
 
 
+def dealt(rows: DataFrame, blocks: int, together: int) -> DataFrame:
+    """The rows with `together` neighbouring blocks in each partition, which `task` numbers. By hash some
+    tasks would sort and sum the strings of several times as many blocks as others."""
+    tasks = -(-blocks // together)
+    return rows.withColumn("task", F.expr(f"int(block div {together})")).repartitionById(tasks, "task")
+
+
 def score(docs: DataFrame, held_out: Column, depth: int = DEPTH, block: int = BLOCK) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, n_bytes: one row per row
     of `docs` (doc_id bigint, text).
@@ -350,10 +359,11 @@ def score(docs: DataFrame, held_out: Column, depth: int = DEPTH, block: int = BL
     rows = small_batches(docs).select("doc_id", F.coalesce("text", F.lit("")).alias("text"), (~held_out).alias("taught"))
     spark = docs.sparkSession
     size = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
-    blocks = max(2 * spark.sparkContext.defaultParallelism, -(-size // block))
+    least = 2 * spark.sparkContext.defaultParallelism
+    blocks = max(least, -(-size // block))
     rows = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int"))
     rows = rows.mapInArrow(_pack, "block int, doc_id bigint, taught boolean, packed binary")
-    reports = rows.groupBy("block").applyInArrow(_report(depth), "block int, key bigint, seen bigint")
+    reports = dealt(rows, blocks, min(COUNTED, blocks // least)).groupBy("block", "task").applyInArrow(_report(depth), "block int, key bigint, seen bigint")
     # A string that occurs everywhere has several lists of blocks, none longer than LISTED.
     lists = stored(
         reports.groupBy("key", F.expr(f"block div {LISTED}").alias("part")).agg(

@@ -148,6 +148,15 @@ def test_block_reports_in_small_batches():
     assert max(b.num_rows for b in report.to_batches()) <= 50_000
 
 
+def test_blocks_are_dealt_evenly(spark):
+    rows = spark.range(620).select((F.col("id") % 31).cast("int").alias("block"), F.lit(1).alias("n"))
+    sums = lm_score.dealt(rows, 31, 3).groupBy("block", "task").agg(F.sum("n").alias("n"))
+    found = sums.withColumn("at", F.spark_partition_id()).collect()
+    assert sorted(r.block for r in found) == list(range(31))
+    assert all(r.n == 20 for r in found)
+    assert sorted(Counter(r.at for r in found).values()) == [1] + 10 * [3]
+
+
 def test_texts_reach_scoring_in_small_batches(spark):
     name = "spark.sql.execution.arrow.maxBytesPerBatch"
     before = spark.conf.get(name)
