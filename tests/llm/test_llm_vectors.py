@@ -150,3 +150,36 @@ def test_hard_negatives_without_rows(spark):
     # A positive with a negative score has an empty window; one of score 0 takes zeros.
     assert mined(table(spark, [(0, [1.0], 1), (1, [-1.0], 1), (2, [-0.6], 2)])) == []
     assert mined(table(spark, [(0, [1.0], 1), (1, [0.0], 1), (2, [0.0], 2)])) == [(0, 1, 1, 2, 0, 0)]
+
+
+def test_hard_negatives_broadcast_nothing(spark, monkeypatch):
+    """Repeated vectors are far smaller in files than in memory: by the files' size they would pass the driver."""
+    monkeypatch.setattr(hard_negatives, "BLOCK_BYTES", 8 * 24 * 100)
+    random = np.random.default_rng(9)
+    few = [[float(x) for x in random.integers(-40, 41, 24) / 256] for _ in range(7)]
+    rows = [(i, few[i % 7], int(i % 3)) for i in range(0, 1000)]
+    found = hard_negatives.mine(table(spark, rows), F.col("vec_id") % 50 == 0)
+    assert sorted((tuple(r) for r in found.collect()), key=str) == brute_negatives(rows)
+    plans, stored = [], hard_negatives.stored
+
+    def seen(df, *more):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return stored(df, *more)
+
+    monkeypatch.setattr(hard_negatives, "stored", seen)
+    seen(hard_negatives.mine(table(spark, rows), F.col("vec_id") % 50 == 0))
+    assert len(plans) == 4 and not any("Broadcast" in plan for plan in plans)
+
+
+def test_hard_negatives_are_dealt_to_bounded_tasks():
+    for anchors, blocks in ((0, 0), (1, 1), (1000, 13), (300_000, 3_700)):
+        tiles, splits = hard_negatives.grid(anchors, blocks, 48)
+        assert -(-anchors // tiles) <= hard_negatives.ANCHORS and -(-blocks // splits) <= hard_negatives.SPLIT_BLOCKS
+        assert tiles >= 1 and splits >= 1
+    assert np.prod(hard_negatives.grid(14_400, 176, 48)) >= 48 and np.prod(hard_negatives.grid(1000, 13, 48)) >= 48
+
+
+def test_vectors_travel_in_as_few_bytes_as_hold_them():
+    for x, size in (([1, -300], 2), ([40_000], 4), ([2**40], 8), ([], 2)):
+        narrow = hard_negatives._narrow(np.array(x, np.int64))
+        assert narrow.itemsize == size and list(narrow) == x
