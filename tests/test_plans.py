@@ -191,3 +191,14 @@ def test_stored_tables_are_in_the_order_of_their_keys(spark, tmp_path):
     stored = session.materialize(rows, f"{tmp_path}/t", sort_by=["id"])
     assert [r.id for r in stored.collect()] == list(range(100))
     assert all(f.endswith(".zstd.parquet") for f in stored.inputFiles())
+
+
+def test_film_terms_and_texts_share_a_shuffle(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = exchanges(Models(TpchSources(spark, FOLDER))["rental_analytics"])
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    names = [line.split("hashpartitioning(")[1].split("#")[0] for line in found]
+    # From the join with the payments down to that with the items, the rentals move once by each key.
+    assert names[names.index("rental_id") + 1 : names.index("inventory_id")] == ["film_id", "customer_id", "store_id"]
