@@ -19,6 +19,7 @@ from kinomart.operators.refresh import refresh_diff
 from kinomart.plans import checks
 from kinomart.plans.deltas import FACT, WIDE, MaintainedMarts
 from kinomart.plans.models import Models
+from kinomart.session import materialize
 from kinomart.sources.schemas import PRIMARY_KEYS
 
 SCHEMA = "k bigint, a string, b int"
@@ -315,3 +316,32 @@ def test_a_refresh_reads_each_table_once(spark):
     }
     scans = found._jdf.queryExecution().optimizedPlan().toString()
     assert scans.count("LogicalRDD") == 2
+
+
+def test_replaced_leaves_are_moved_not_written_again(spark, tmp_path):
+    rows = spark.range(100).select(F.col("id").alias("k"), F.lit("x").alias("a"))
+    stored = digest_tree.store_refresh(rows, ["k"], f"{tmp_path}/t", leaf_rows=10)
+    kept = files(f"{tmp_path}/t")
+    some = spark.range(25, 45).select(F.col("id").alias("k"))
+    assert digest_tree.replace_keys(stored, some, some.withColumn("a", F.lit("y")), f"{tmp_path}/work") == 3
+    new = rows.withColumn("a", F.when(F.col("k").between(25, 44), "y").otherwise("x"))
+    assert bag(stored.rows.drop("_leaf")) == bag(new)
+    # The new files have left the folder in which they were made, and the old ones lie beside it.
+    assert files(f"{tmp_path}/work") == set() and files(f"{tmp_path}/t") - kept
+    old = {p.relative_to(f"{tmp_path}/work/old") for p in Path(f"{tmp_path}/work/old").glob("*/*.parquet")}
+    assert {Path("rows") / p for p in old} == kept - files(f"{tmp_path}/t")
+    # Once more, over what the first replacement left behind.
+    assert digest_tree.replace_keys(stored, some, some.withColumn("a", F.lit("y")), f"{tmp_path}/work") == 3
+    assert bag(stored.rows.drop("_leaf")) == bag(new)
+
+
+def test_the_wide_mart_is_built_from_lists_and_dealt_as_the_fact(spark, tmp_path, monkeypatch):
+    staged = []
+    monkeypatch.setattr(digest_tree, "materialize", lambda df, path, *more: (staged.append(path), materialize(df, path, *more))[1])
+    models = loaded(spark, shop(spark, 60))
+    kept = MaintainedMarts(spark, f"{tmp_path}/marts", leaf_rows=10)
+    kept.build(models.__getitem__)
+    assert not any("/staged" in p for p in staged if f"/{FACT}/" in p or f"/{WIDE}/" in p)
+    assert kept.mart(FACT).layout == kept.mart(WIDE).layout and not list(Path(f"{tmp_path}/marts").glob("work-*"))
+    for name in (FACT, WIDE):
+        assert bag(kept[name]) == bag(models[name])
